@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from .layout_copies import layout_copies
 from .normal_form import consistent_form
 from .tokenizer import encode_corpus
+from .wrong_decoding import wrongly_decoded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +34,33 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
     return encode_corpus(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
+
+
+@query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of question_en and sql in another layout: the group's smallest id and every other id."""
+    return layout_copies(table(spark, sf_dir, "generated_example"), "id", "question_en", "sql")[0]
+
+
+@query
+def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One record for each group of layout copies, with the number of its copies."""
+    return layout_copies(table(spark, sf_dir, "generated_example"), "id", "question_en", "sql")[1]
+
+
+def _garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "queries_alpaca_ro")
+    corpus = rows.select(F.explode(F.array("instruction", "input", "output")).alias("text"))
+    return wrongly_decoded(rows, "id", ["instruction", "input"], corpus)
+
+
+@query
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields a part or all of which was decoded wrongly."""
+    return _garbled(spark, sf_dir).select("field_name", "id")
+
+
+@query
+def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same fields with the original text where it can be recovered."""
+    return _garbled(spark, sf_dir).select("field_name", "id", "restored")
