@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import table
 from .layout_copies import layout_copies
+from .lost_ends import lost_ends, question_of, rates
 from .normal_form import consistent_form
 from .tokenizer import encode_corpus
 from .wrong_decoding import wrongly_decoded
@@ -64,3 +65,24 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same fields with the original text where it can be recovered."""
     return _garbled(spark, sf_dir).select("field_name", "id", "restored")
+
+
+def _ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, q = table(spark, sf_dir, "generated_example"), table(spark, sf_dir, "queries_alpaca_ro")
+    english = F.coalesce("question_en", F.lit(""))
+    first = e.select(F.lit("question_ro").alias("field_name"), F.col("id").alias("record_id"), "source", F.col("question_ro").alias("text"), F.concat_ws(" ", "sql", english).alias("sibling"), english.alias("named"))
+    asked = question_of("input")
+    second = q.select(F.lit("instruction").alias("field_name"), F.col("id").alias("record_id"), F.col("source_dataset").alias("source"), F.col("instruction").alias("text"), F.concat_ws(" ", asked, "output").alias("sibling"), F.regexp_replace(asked, r"(?s)\n\s*(?:SELECT|INSERT|UPDATE|DELETE|CREATE|DROP|WITH)\b.*", "").alias("named"))
+    return lost_ends(first.unionByName(second))
+
+
+@query
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts whose end was lost."""
+    return _ends(spark, sf_dir).where("lost").select("field_name", "record_id")
+
+
+@query
+def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of cut texts for each field and source."""
+    return rates(_ends(spark, sf_dir))
