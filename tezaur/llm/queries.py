@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
+from .broken_pairs import broken_pairs
 from .layout_copies import layout_copies
 from .lost_ends import lost_ends, question_of, rates
 from .normal_form import consistent_form
@@ -86,3 +87,9 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of cut texts for each field and source."""
     return rates(_ends(spark, sf_dir))
+
+
+@query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose output does not answer their instruction, with the defect's type."""
+    return broken_pairs(table(spark, sf_dir, "queries_alpaca_ro"), "instruction", "input", "output")
