@@ -12,6 +12,7 @@ from .broken_pairs import broken_pairs
 from .layout_copies import layout_copies
 from .lost_ends import lost_ends, question_of, rates
 from .normal_form import consistent_form
+from .split_overlap import counts_found, pairs_found
 from .tokenizer import encode_corpus
 from .wrong_decoding import wrongly_decoded
 
@@ -93,3 +94,15 @@ def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records whose output does not answer their instruction, with the defect's type."""
     return broken_pairs(table(spark, sf_dir, "queries_alpaca_ro"), "instruction", "input", "output")
+
+
+@query
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of equal or nearly equal records across train and the other splits."""
+    return pairs_found(table(spark, sf_dir, "generated_example"))
+
+
+@query
+def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs' counts for each split and source."""
+    return counts_found(table(spark, sf_dir, "generated_example"))
