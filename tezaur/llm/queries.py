@@ -12,6 +12,8 @@ from .broken_pairs import broken_pairs
 from .layout_copies import layout_copies
 from .lost_ends import lost_ends, question_of, rates
 from .normal_form import consistent_form
+from .personal_items import found as items_found
+from .personal_items import sanitised
 from .split_overlap import counts_found, pairs_found
 from .tokenizer import encode_corpus
 from .wrong_decoding import wrongly_decoded
@@ -106,3 +108,15 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pairs' counts for each split and source."""
     return counts_found(table(spark, sf_dir, "generated_example"))
+
+
+@query
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item of personal information in the posts."""
+    return items_found(table(spark, sf_dir, "documents"))
+
+
+@query
+def p9_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts with a typed placeholder in place of each item."""
+    return sanitised(table(spark, sf_dir, "documents"))
