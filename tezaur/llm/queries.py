@@ -14,6 +14,7 @@ from .lost_ends import lost_ends, question_of, rates
 from .normal_form import consistent_form
 from .personal_items import found as items_found
 from .personal_items import sanitised
+from .source_mix import mixture, report
 from .split_overlap import counts_found, pairs_found
 from .tokenizer import encode_corpus
 from .wrong_decoding import wrongly_decoded
@@ -120,3 +121,15 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p9_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The posts with a typed placeholder in place of each item."""
     return sanitised(table(spark, sf_dir, "documents"))
+
+
+@query
+def p8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as one mixture with the shares of mix_targets: blocks of tokens with the pieces of documents they hold."""
+    return mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+@query
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of each source of the mixture."""
+    return report(p8_mixture(spark, sf_dir), table(spark, sf_dir, "mix_targets"))
