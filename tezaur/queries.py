@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .functions import text as T
+from .functions.temporal import clock, weekdays
+from .operators import keys, sampling, stats
+from .operators.sandbox import valid_in_context
+from .operators.waterfall import classified, counters, keep_rate
+from .plans import cleaning, evaluation, exports, prompts
+from .plans.split import evaluation_split, file_counts
 from .session import table
+from .sources.dumps import insert_statements
+from .streaming.state import first_seen, is_late, window_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,16 +32,491 @@ def query(sql: str | None = None):
     return register
 
 
-@query("""
-WITH n AS (SELECT lang, doc_id, lower(regexp_replace(regexp_replace(regexp_replace(text, '[\\s\\x{A0}\\x{2000}-\\x{200A}\\x{202F}\\x{3000}]+', ' ', 'g'), '^ ', ''), ' $', '')) AS k FROM documents),
+# SQL of the white space that strip() and normal() take, and of both functions.
+_WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+
+def _sql_strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+def _sql_normal(x: str) -> str:
+    return f"lower({_sql_strip(f"regexp_replace({x}, '{_WS}+', ' ', 'g')")})"
+
+
+@query(f"""WITH n AS (SELECT lang, doc_id, coalesce({_sql_normal('text')}, '') AS k FROM documents),
 d AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS r FROM n)
-SELECT lang, CASE WHEN coalesce(k, '') = '' THEN 'empty' WHEN r > 1 THEN 'copy' ELSE 'kept' END AS status, CAST(count(*) AS BIGINT) AS n FROM d GROUP BY ALL
-""")
+SELECT lang, CASE WHEN k = '' THEN 'empty' WHEN r > 1 THEN 'copy' ELSE 'kept' END AS status, CAST(count(*) AS BIGINT) AS n FROM d GROUP BY ALL""")
 def norm_dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalise, keep the first of equal texts, count by language and status."""
-    k = F.lower(F.trim(F.regexp_replace("text", r"[\s  -  　]+", " ")))
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", k.alias("k"))
-    first = d.groupBy("k").agg(F.min("doc_id").alias("first"))
-    d = d.join(first, d.k.eqNullSafe(first.k), "left").select("lang", d.k, "doc_id", "first")
-    status = F.when(F.coalesce("k", F.lit("")) == "", "empty").when(F.col("doc_id") > F.col("first"), "copy").otherwise("kept")
-    return d.groupBy("lang", status.alias("status")).agg(F.count("*").alias("n"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.coalesce(T.normal(F.col("text")), F.lit("")).alias("k"))
+    first = d.where("k <> ''").groupBy("k").agg(F.min("doc_id").alias("first"))
+    status = F.when(F.col("k") == "", "empty").when(F.col("doc_id") > F.col("first"), "copy").otherwise("kept")
+    return d.join(first, "k", "left").groupBy("lang", status.alias("status")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT domain, CAST(count(*) AS BIGINT) AS records, CAST(count(DISTINCT {_sql_normal('question_en')}) AS BIGINT) AS questions, CAST(count(DISTINCT {_sql_normal('sql')}) AS BIGINT) AS statements
+FROM generated_example GROUP BY domain""")
+def normal_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct normalised questions and statements."""
+    g = table(spark, sf_dir, "generated_example")
+    return g.groupBy("domain").agg(F.count("*").alias("records"), F.countDistinct(T.normal(F.col("question_en"))).alias("questions"), F.countDistinct(T.normal(F.col("sql"))).alias("statements"))
+
+
+@query("""SELECT CASE lower(trim(coalesce(task, ''))) WHEN 'operator' THEN 'operator' WHEN 'operators' THEN 'operator' WHEN 'operation' THEN 'operator' WHEN 'operations' THEN 'operator' ELSE 'user' END AS task, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT task FROM generated_example UNION ALL SELECT task FROM queries_alpaca_ro) GROUP BY 1""")
+def task_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task names in canonical form."""
+    both = table(spark, sf_dir, "generated_example").select("task").union(table(spark, sf_dir, "queries_alpaca_ro").select("task"))
+    return both.groupBy(T.task(F.col("task")).alias("task")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT CASE WHEN w = '' THEN 'UNKNOWN' ELSE upper(w) END AS keyword, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT regexp_extract(regexp_replace(coalesce(output, ''), '^{_WS}+', ''), '^[\\p{{L}}_]+') AS w FROM queries_alpaca_ro) GROUP BY 1""")
+def first_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First keywords of the outputs."""
+    return table(spark, sf_dir, "queries_alpaca_ro").groupBy(T.first_keyword(F.coalesce("output", F.lit(""))).alias("keyword")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT id, md5(lower({_sql_strip(f"regexp_replace({_sql_strip(f"regexp_replace(sql, '{_WS}+', ' ', 'g')")}, ';+$', '')")})) AS h FROM generated_example""")
+def statement_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements in comparable form."""
+    return table(spark, sf_dir, "generated_example").select("id", F.md5(T.normal_statement(F.col("sql"))).alias("h"))
+
+
+_RAW = _sql_strip("coalesce(output, '')")
+_EXTRACT = f"""
+WITH a AS (SELECT id, {_RAW} AS r FROM queries_alpaca_ro),
+b AS (SELECT id, r, string_split(r, '```') AS p FROM a),
+c AS (SELECT id, CASE WHEN len(p) >= 3 THEN {_sql_strip('p[2]')} END AS inner_, r FROM b),
+d AS (SELECT id, CASE WHEN inner_ IS NULL THEN r WHEN lower(inner_) LIKE 'sql%' THEN {_sql_strip('substring(inner_, 4)')} ELSE inner_ END AS r FROM c),
+e AS (SELECT id, CASE WHEN lower(r) LIKE 'sql:%' THEN {_sql_strip('substring(r, 5)')} ELSE r END AS r FROM d),
+f AS (SELECT id, r, {_sql_strip("string_split(r, ';')[1]")} AS head, list_filter(list_transform(regexp_split_to_array(r, '[\n\r]+'), lambda x: {_sql_strip('x')}), lambda x: x <> '')[1] AS line FROM e)
+SELECT id, md5(CASE WHEN contains(r, ';') AND head <> '' THEN head || ';' WHEN line IS NOT NULL THEN line ELSE r END) AS h,
+regexp_matches(upper(CASE WHEN contains(r, ';') AND head <> '' THEN head || ';' WHEN line IS NOT NULL THEN line ELSE r END), '^(SELECT|WITH|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP|REPLACE|PRAGMA|EXPLAIN|VACUUM)([^A-Z_]|$)') AS starts FROM f"""
+
+
+@query(_EXTRACT)
+def extract_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements in answers, and whether they start as SQL."""
+    got = table(spark, sf_dir, "queries_alpaca_ro").select("id", T.extract_statement(F.col("output")).alias("s"))
+    return got.select("id", F.md5("s").alias("h"), T.starts_as_sql(F.col("s")).alias("starts"))
+
+
+_PARTS = f"""
+WITH a AS (SELECT id, CASE WHEN strpos(input, 'Schema / context SQL:' || chr(10)) > 0 THEN substring(input, strpos(input, 'Schema / context SQL:' || chr(10)) + 22) END AS r FROM queries_alpaca_ro),
+b AS (SELECT id, r, strpos(r, chr(10) || chr(10)) AS g FROM a), c AS (SELECT id, r, g, CASE WHEN g > 0 THEN substring(r, g + 2) END AS t FROM b),
+d AS (SELECT id, {_sql_strip('substring(r, 1, g - 1)')} AS context, {_sql_strip('substring(t, 1, strpos(t, chr(10)) - 1)')} AS label, {_sql_strip('substring(t, strpos(t, chr(10)) + 1)')} AS question, strpos(t, chr(10)) AS l FROM c)
+SELECT id, md5(context) AS context, label, md5('Schema / context SQL:' || chr(10) || context || chr(10) || chr(10) || 'Întrebare:' || chr(10) || question) AS rebuilt FROM d WHERE l > 0"""
+
+
+@query(_PARTS)
+def input_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context, label and question of inputs; inputs rebuilt with the canonical label."""
+    q = table(spark, sf_dir, "queries_alpaca_ro").select("id", T.input_parts(F.col("input")).alias("p")).where("p is not null")
+    return q.select("id", F.md5("p.context").alias("context"), "p.label", F.md5(T.rebuilt_input(F.col("p.context"), F.col("p.question"))).alias("rebuilt"))
+
+
+def _sql_count(t: str) -> str:
+    return f"CAST((length(instruction) - length(replace(instruction, '{t}', ''))) / {len(t)} AS INTEGER)"
+
+
+@query(f"""SELECT id, {' OR '.join(f"contains(instruction, '{t}')" for t in T.SUSPICIOUS)} AS suspicious,
+CAST(3 * (length(instruction) - length(regexp_replace(instruction, '[{T.DIACRITICS}]', '', 'g'))) - 4 * ({' + '.join(map(_sql_count, T.SUSPICIOUS))}) - 8 * {_sql_count(chr(0xFFFD))} AS BIGINT) AS quality FROM queries_alpaca_ro""")
+def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suspicious sequences and quality of instructions."""
+    i = F.col("instruction")
+    return table(spark, sf_dir, "queries_alpaca_ro").select("id", T.is_suspicious(i).alias("suspicious"), T.quality(i).cast("long").alias("quality"))
+
+
+@query()
+def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instructions after repair by re-reading and replacement (held against a plain version in the tests)."""
+    q = table(spark, sf_dir, "queries_alpaca_ro").select("id", T.repaired(F.col("instruction")).alias("r"))
+    return q.select("id", "r.text", "r.changed")
+
+
+_MASK = "((train_id * 37) % 400)"
+
+
+@query(f"""SELECT train_id, CASE m WHEN 127 THEN 'Zilnic' WHEN 31 THEN 'Luni - Vineri' WHEN 96 THEN 'Sâmbătă - Duminică' WHEN 63 THEN 'Luni - Sâmbătă' WHEN 95 THEN 'Luni - Vineri și Duminică' WHEN 0 THEN 'Zilnic'
+ELSE array_to_string(list_filter(['Luni', 'Marți', 'Miercuri', 'Joi', 'Vineri', 'Sâmbătă', 'Duminică'], lambda d, i: (m >> (i - 1)) & 1 = 1), ', ') END AS days
+FROM (SELECT train_id, CAST({_MASK} AS INTEGER) % 128 AS m FROM trains)""")
+def weekday_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days of masks."""
+    return table(spark, sf_dir, "trains").select("train_id", weekdays(F.expr(f"cast({_MASK} as string)")).alias("days"))
+
+
+@query("""SELECT timetable_id, lpad(CAST(((s // 3600) % 24 + 24) % 24 AS VARCHAR), 2, '0') || ':' || lpad(CAST(((s % 3600) + 3600) % 3600 // 60 AS VARCHAR), 2, '0') AS clock
+FROM (SELECT timetable_id, timetable_id * 61 AS s FROM timetables)""")
+def clock_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seconds as clock times."""
+    return table(spark, sf_dir, "timetables").select("timetable_id", clock(F.expr("cast(timetable_id * 61 as string)")).alias("clock"))
+
+
+_AREAS = [("munte", ["MĂGURA", "DEALU", "PODU"]), ("vale", ["VALEA", "LUNCA", "GURA"]), ("izvor", ["IZVORU", "LAC", "BĂI"])]
+
+
+@query("""SELECT station_id, CASE WHEN contains(u, 'MĂGURA') OR contains(u, 'DEALU') OR contains(u, 'PODU') THEN 'munte' WHEN contains(u, 'VALEA') OR contains(u, 'LUNCA') OR contains(u, 'GURA') THEN 'vale'
+WHEN contains(u, 'IZVORU') OR contains(u, 'LAC') OR contains(u, 'BĂI') THEN 'izvor' ELSE 'Alte' END AS area FROM (SELECT station_id, upper(station_name) AS u FROM stations)""")
+def first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rule that fits a name."""
+    return table(spark, sf_dir, "stations").select("station_id", T.first_match(F.col("station_name"), _AREAS, "Alte").alias("area"))
+
+
+@query("""SELECT s.station_id, coalesce(c.county_code, s.county) AS code, lpad(CAST(s.station_number AS VARCHAR), CAST(greatest(10, length(CAST(s.station_number AS VARCHAR))) AS INTEGER), '0') AS padded
+FROM stations s LEFT JOIN counties c ON c.county_name = s.county""")
+def county_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """County codes by name with the name as default; padded numbers."""
+    s, c = table(spark, sf_dir, "stations"), table(spark, sf_dir, "counties")
+    j = s.join(F.broadcast(c), s.county == c.county_name, "left")
+    return j.select("station_id", F.coalesce("county_code", "county").alias("code"), T.padded(F.col("station_number").cast("string")).alias("padded"))
+
+
+@query("""WITH v AS (SELECT DISTINCT day_type FROM timetables WHERE day_type IS NOT NULL), r AS (SELECT day_type, row_number() OVER (ORDER BY day_type) AS r FROM v),
+t AS (SELECT r, unnest(string_split(day_type, ' ')) AS token, generate_subscripts(string_split(day_type, ' '), 1) AS p FROM r),
+f AS (SELECT token, min(r * 1000 + p) AS place FROM t WHERE token <> '' GROUP BY token)
+SELECT token, CAST(row_number() OVER (ORDER BY place) AS BIGINT) AS n FROM f QUALIFY n <= 20""")
+def token_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First tokens in the order they are seen."""
+    v = table(spark, sf_dir, "timetables").select("day_type").where("day_type is not null").distinct()
+    got = stats.ordered_tokens(v, "day_type", ["day_type"], 20, " ")
+    return got.select("token", F.row_number().over(Window.orderBy("place")).cast("long").alias("n"))
+
+
+@query("""SELECT trim(county) AS value FROM (SELECT DISTINCT county FROM stations WHERE county IS NOT NULL ORDER BY county LIMIT 30) WHERE trim(county) <> ''""")
+def distinct_hints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first distinct values of a column."""
+    return stats.distinct_values(table(spark, sf_dir, "stations"), "county", 30)
+
+
+@query("""SELECT station_id, station_name, n FROM (SELECT s.station_id, s.station_name, CAST(count(*) AS BIGINT) AS n FROM timetables t JOIN stations s ON s.station_id = t.station_id
+GROUP BY s.station_id, s.station_name ORDER BY n DESC, station_name ASC NULLS FIRST, station_id LIMIT 20) WHERE station_name IS NOT NULL""")
+def top_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations with most stops."""
+    return stats.top_counts(table(spark, sf_dir, "timetables"), table(spark, sf_dir, "stations"), "station_id", "station_name", 20)
+
+
+@query("""SELECT 'domain' AS facet, domain AS value, CAST(count(*) AS BIGINT) AS n FROM generated_example GROUP BY domain UNION ALL SELECT 'task', task, count(*) FROM generated_example GROUP BY task
+UNION ALL SELECT 'difficulty', CAST(difficulty AS VARCHAR), count(*) FROM generated_example GROUP BY difficulty UNION ALL SELECT 'query_type', v, count(*) FROM (SELECT unnest(query_type) AS v FROM generated_example) GROUP BY v""")
+def summary_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1, A2: records by domain, task, difficulty and query type, in one pass."""
+    return stats.summary_counts(table(spark, sf_dir, "generated_example"), ["domain", "task", "difficulty"], ["query_type"])
+
+
+@query("SELECT CAST(coalesce(min(row_count), 0) AS BIGINT) AS least, CAST(coalesce(max(row_count), 0) AS BIGINT) AS most, round(coalesce(avg(row_count), 0.0), 6) AS mean FROM generated_example")
+def number_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: least, most and mean row count."""
+    r = stats.number_summary(table(spark, sf_dir, "generated_example"), "row_count")
+    return r.select(F.col("least").cast("long"), F.col("most").cast("long"), F.round("mean", 6).alias("mean"))
+
+
+_WATERFALL = f"""WITH a AS (SELECT *, {_RAW} AS o, strpos(coalesce(input, ''), 'Schema / context SQL:' || chr(10)) AS m FROM queries_alpaca_ro),
+b AS (SELECT *, CASE WHEN m > 0 THEN substring(input, m + 22) END AS r FROM a), c AS (SELECT *, CASE WHEN strpos(r, chr(10) || chr(10)) > 0 THEN substring(r, strpos(r, chr(10) || chr(10)) + 2) END AS t FROM b),
+d AS (SELECT *, CASE WHEN o = '' THEN 'empty_output_sql' WHEN upper(regexp_extract(o, '^[\\p{{L}}_]+')) NOT IN ('SELECT', 'WITH') THEN 'sql_keyword_not_allowed'
+ WHEN t IS NULL OR strpos(t, chr(10)) = 0 THEN 'input_parse_failed' END AS reason FROM c)"""
+
+
+def _dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classified(table(spark, sf_dir, "queries_alpaca_ro"), cleaning.record_checks("queries", strict_type=True))
+
+
+@query(_WATERFALL + """ SELECT counter, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(['total', CASE WHEN reason IS NULL THEN 'kept' ELSE 'dropped' END, 'drop_' || reason]) AS counter FROM d) WHERE counter IS NOT NULL GROUP BY counter""")
+def clean_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the cleaning waterfall."""
+    return counters(_dropped(spark, sf_dir))
+
+
+@query(_WATERFALL + """ SELECT CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (reason IS NULL) AS BIGINT) AS kept, coalesce(count(*) FILTER (reason IS NULL) / count(*), 0.0) AS keep_rate FROM d""")
+def clean_keep_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep rate."""
+    return keep_rate(_dropped(spark, sf_dir))
+
+
+@query()
+def clean_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned records with repaired texts, changed fields and drop reasons."""
+    q = table(spark, sf_dir, "queries_alpaca_ro").withColumnRenamed("system_prompt", "system")
+    return cleaning.cleaned(q, "queries", strict_type=True).select("id", "task", "instruction", "input", "system", "drop_reason", "changed_fields")
+
+
+@query(f"SELECT * EXCLUDE (r) FROM (SELECT id, domain, task, row_number() OVER (PARTITION BY {_sql_normal('sql')} ORDER BY id) AS r FROM generated_example) WHERE r = 1")
+def dedup_one_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first record of each statement."""
+    g = table(spark, sf_dir, "generated_example").select("id", "domain", "task", "sql")
+    return keys.first_by_key(g, T.normal(F.col("sql")), "id").select("id", "domain", "task")
+
+
+@query("""WITH r AS (SELECT list({'o': doc_id, 'a': coalesce(left(text, 2), ''), 'b': coalesce(right(text, 3), '')} ORDER BY doc_id) AS l FROM documents),
+f AS (SELECT list_reduce(list_prepend({'o': NULL, 'a': NULL, 'b': NULL, 'ids': []::BIGINT[], 'ka': []::VARCHAR[], 'kb': []::VARCHAR[]}, list_transform(l, lambda x: {'o': x.o, 'a': x.a, 'b': x.b, 'ids': []::BIGINT[], 'ka': []::VARCHAR[], 'kb': []::VARCHAR[]})),
+ lambda acc, x: CASE WHEN list_contains(acc.ka, x.a) OR list_contains(acc.kb, x.b) THEN acc ELSE {'o': NULL, 'a': NULL, 'b': NULL, 'ids': list_append(acc.ids, x.o), 'ka': list_append(acc.ka, x.a), 'kb': list_append(acc.kb, x.b)} END) AS s FROM r)
+SELECT unnest(s.ids) AS doc_id FROM f""")
+def dedup_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy deduplication on either of two keys."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.substring("text", 1, 2), F.lit("")).alias("a"), F.coalesce(F.right("text", F.lit(3)), F.lit("")).alias("b"))
+    return keys.two_key_dedup(d, "doc_id", F.col("a"), F.col("b")).select("doc_id")
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY county) AS BIGINT) AS county_id, county AS county_code FROM (SELECT DISTINCT county FROM stations WHERE county <> '')")
+def dense_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered distinct values."""
+    return keys.dense_ids(table(spark, sf_dir, "stations"), F.col("county"), "county_code", "county_id")
+
+
+@query("""SELECT CAST(row_number() OVER (ORDER BY first) AS BIGINT) AS place_id, name, county FROM (SELECT min(station_id) AS first, arg_min(station_name, station_id) AS name, arg_min(coalesce(county, ''), station_id) AS county
+FROM stations GROUP BY station_number, upper(coalesce(county, '')))""")
+def first_seen_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys numbered in the order they are first seen, first spelling kept."""
+    s = table(spark, sf_dir, "stations").withColumn("county", F.coalesce("county", F.lit("")))
+    got = keys.first_seen_ids(s, [F.col("station_number"), F.upper("county")], "station_id", ["station_name", "county"], "place_id")
+    return got.select("place_id", F.col("station_name").alias("name"), "county")
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY train_id, timetable_id) AS BIGINT) AS n, timetable_id FROM timetables")
+def numbered_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequential numbers in a total order, without one task for all rows."""
+    return keys.numbered(table(spark, sf_dir, "timetables").select("train_id", "timetable_id"), ["train_id", "timetable_id"], "n").select("n", "timetable_id")
+
+
+@query("""WITH a AS (SELECT train_id, coalesce(sum(TRY_CAST(substring(arrival_time, 1, 2) AS INTEGER)), 0) AS hours, nullif(array_to_string(list_sort(list_distinct(list(day_type))), ', '), '') AS days FROM timetables GROUP BY train_id)
+SELECT t.train_id, CASE WHEN t.category = 'R' THEN CAST(a.hours AS BIGINT) END AS hours, CASE WHEN t.category = 'R' THEN a.days END AS days, nullif(trim(t.train_number), '') AS number FROM trains t LEFT JOIN a ON a.train_id = t.train_id""")
+def gated_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums and lists joined where a condition on the row holds."""
+    tt = table(spark, sf_dir, "timetables").groupBy("train_id").agg(F.coalesce(F.sum(F.substring("arrival_time", 1, 2).try_cast("int")), F.lit(0)).alias("hours"), stats.joined_distinct(F.col("day_type")).alias("days"))
+    own = F.col("category") == "R"
+    return table(spark, sf_dir, "trains").join(tt, "train_id", "left").select("train_id", F.when(own, F.col("hours")).alias("hours"), F.when(own, F.col("days")).alias("days"), F.nullif(T.strip(F.col("train_number")), F.lit("")).alias("number"))
+
+
+_LITERAL = "coalesce('''' || replace({0}, '''', '''''') || '''', 'NULL')"
+
+
+@query(f"""WITH r AS (SELECT row_number() OVER (ORDER BY station_id) AS n, '(' || station_id || ', ' || station_number || ', ' || {_LITERAL.format('station_name')} || ', ' || {_LITERAL.format('county')} || ')' AS v FROM stations)
+SELECT CAST((n - 1) // 500 AS BIGINT) AS batch, md5('INSERT INTO stations (station_id, station_number, station_name, county) VALUES' || chr(10) || string_agg(v, ',' || chr(10) ORDER BY n) || ';') AS h FROM r GROUP BY 1""")
+def insert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-row INSERT statements of 500 rows."""
+    values = [(c, F.col(c).cast("string")) for c in ("station_id", "station_number")] + [(c, T.literal(F.col(c))) for c in ("station_name", "county")]
+    return insert_statements(table(spark, sf_dir, "stations"), "stations", ["station_id"], values).select("batch", F.md5("statement").alias("h"))
+
+
+@query("SELECT CAST(s AS INTEGER) AS shard, CAST(count(*) AS BIGINT) AS n, CAST(sum(doc_id) AS BIGINT) AS ids FROM (SELECT doc_id, doc_id % 4 AS s FROM documents) GROUP BY s")
+def shard_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards merged in the order of their index, with row counts."""
+    d = table(spark, sf_dir, "documents").select("doc_id")
+    merged = sampling.merged_shards([(i, d.where(F.col("doc_id") % 4 == i)) for i in (2, 0, 3, 1)])
+    return merged.groupBy("shard").agg(F.count("*").alias("n"), F.sum("doc_id").alias("ids"))
+
+
+@query(f"""WITH a AS (SELECT id, source_dataset, {_sql_strip("coalesce(instruction, '')")} AS i, {_RAW} AS o, {_sql_strip("coalesce(system_prompt, '')")} AS s FROM queries_alpaca_ro)
+SELECT id, md5(i) AS instruction, md5(o) AS output, CASE WHEN s = '' THEN 'Răspunde cu SQL.' ELSE s END AS system, source_dataset FROM a WHERE i <> '' AND o <> ''""")
+def sft_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised training records."""
+    r = exports.sft(table(spark, sf_dir, "queries_alpaca_ro"), F.col("source_dataset"), "Răspunde cu SQL.", system="system_prompt")
+    return r.select("id", F.md5("instruction").alias("instruction"), F.md5("output").alias("output"), "system", "source_dataset")
+
+
+@query(f"""SELECT coalesce(source_dataset, 'all') AS source, CAST(count(*) AS BIGINT) AS read, CAST(count(*) FILTER (w) AS BIGINT) AS written, CAST(count(*) FILTER (NOT w) AS BIGINT) AS dropped
+FROM (SELECT source_dataset, {_sql_strip("coalesce(instruction, '')")} <> '' AND {_RAW} <> '' AS w FROM queries_alpaca_ro) GROUP BY ROLLUP (source_dataset)""")
+def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows read, written and dropped by source, and their total."""
+    w = (T.strip(F.coalesce("instruction", F.lit(""))) != "") & (T.strip(F.coalesce("output", F.lit(""))) != "")
+    return file_counts(table(spark, sf_dir, "queries_alpaca_ro").withColumn("w", w), "source_dataset", "w")
+
+
+_ASK = """CASE WHEN task = 'operator' THEN 'Write one valid SQLite operator statement for database ''' || db_id || ''' (INSERT/UPDATE/DELETE/CREATE/ALTER/DROP). Return SQL only.'
+ELSE 'Write a valid read-only SQLite SQL query for database ''' || db_id || ''' (SELECT/WITH). Return SQL only.' END"""
+
+
+@query(f"""SELECT id, task, {_ASK} AS instruction, md5('Task: ' || coalesce(task, 'null') || chr(10) || 'Romanian question: ' || coalesce(question_ro, 'null') || chr(10) || 'English question: ' || coalesce(question_en, 'null')) AS input, md5(sql) AS output, difficulty FROM generated_example""")
+def alpaca_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2, K3: records in instruction form."""
+    a = exports.alpaca(exports.master(table(spark, sf_dir, "generated_example")))
+    return a.select("id", "task", "instruction", F.md5("input").alias("input"), F.md5("output").alias("output"), "metadata.difficulty")
+
+
+@query("""SELECT id, unnest(['system', 'user', 'assistant']) AS role, unnest([CASE WHEN task = 'operator' THEN 'You generate SQLite operator statements for Romanian NL-to-SQL tasks. Use DML/DDL only and return only SQL.'
+ELSE 'You generate SQLite read-only queries for Romanian NL-to-SQL tasks. Use SELECT/WITH only and return only SQL.' END, md5('Task: ' || coalesce(task, 'null') || chr(10) || 'Database: ' || db_id || chr(10) || 'Question (RO): ' || question_ro || chr(10) || 'Question (EN): ' || question_en), md5(sql)]) AS content FROM generated_example""")
+def chat_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: records as chat turns."""
+    c = exports.chat(table(spark, sf_dir, "generated_example")).select("id", F.explode("messages").alias("m"))
+    return c.select("id", "m.role", F.when(F.col("m.role") == "system", F.col("m.content")).otherwise(F.md5("m.content")).alias("content"))
+
+
+_SAMPLE = """WITH r AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY md5('42:' || id), id) AS r, count(*) OVER (PARTITION BY t) AS n FROM (SELECT id, coalesce(task, 'user') = 'operator' AS t FROM queries_alpaca_ro))
+SELECT id, CASE WHEN t THEN 'operators' ELSE 'queries' END AS track FROM r WHERE """
+
+
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    q = table(spark, sf_dir, "queries_alpaca_ro").select("id", (F.coalesce("task", F.lit("user")) == "operator").alias("t"))
+    return evaluation_split(q.where("not t"), q.where("t"), "id", 0.2)
+
+
+@query(_SAMPLE + "r <= greatest(1, CAST(floor(n * 0.2) AS BIGINT))")
+def eval_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact seeded samples of both tracks."""
+    return _split(spark, sf_dir)[0].select("id", "track")
+
+
+@query(_SAMPLE + "r > greatest(1, CAST(floor(n * 0.2) AS BIGINT))")
+def train_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that no sample has."""
+    return _split(spark, sf_dir)[1].select("id", "track")
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) AS BIGINT) AS place, doc_id FROM documents")
+def seeded_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seeded order."""
+    return sampling.shuffled(table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 7)
+
+
+@query("""WITH a AS (SELECT id, 0 AS part, (row_number() OVER (ORDER BY md5('42:' || id), id) - 0.5) / CAST(0.8 AS DOUBLE) AS x FROM queries_alpaca_ro WHERE coalesce(task, 'user') <> 'operator'),
+b AS (SELECT id, 1 AS part, (row_number() OVER (ORDER BY md5('43:' || id), id) - 0.5) / (1 - CAST(0.8 AS DOUBLE)) AS x FROM queries_alpaca_ro WHERE coalesce(task, 'user') = 'operator'), u AS (SELECT * FROM a UNION ALL SELECT * FROM b),
+e AS (SELECT min(m) AS e FROM (SELECT max(x) AS m FROM u GROUP BY part)) SELECT id, part, x <= e AS used FROM u, e""")
+def interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables interleaved 0.8 to 0.2 until one is used up."""
+    q = table(spark, sf_dir, "queries_alpaca_ro").select("id", (F.coalesce("task", F.lit("user")) == "operator").alias("t"))
+    return sampling.interleaved(q.where("not t").select("id"), q.where("t").select("id"), "id", 0.8).select("id", "part", "used")
+
+
+@query(f"""SELECT id, md5('Domain: ' || domain || chr(10) || 'English question:' || chr(10) || question_en) AS translation,
+md5(CASE WHEN {_sql_normal("coalesce(task, '')")} IN ('operator', 'operators') THEN 'operator' ELSE 'user' END) AS task FROM generated_example""")
+def translation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompts for translation."""
+    return table(spark, sf_dir, "generated_example").select("id", F.md5(prompts.translation_prompt(F.col("question_en"), F.col("domain"))).alias("translation"), F.md5(T.task(F.col("task"))).alias("task"))
+
+
+@query()
+def generation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generation and repair prompts of every record, with the schema text of the rail tables."""
+    names = ["stations", "timetables", "trains"]
+    tables = spark.createDataFrame([(n, table(spark, sf_dir, n).columns) for n in names], "name string, columns array<string>")
+    hints = stats.distinct_values(table(spark, sf_dir, "timetables"), "day_type", 20).agg(F.array_sort(F.collect_list("value")).alias("values")).select(F.lit("timetables.day_type").alias("key"), "values")
+    schema = prompts.schema_text(tables, hints, "trains", "rail_mers_tren", 12)
+    g = table(spark, sf_dir, "generated_example").join(F.broadcast(schema))
+    made = prompts.generation_prompt(F.col("domain"), F.col("task"), F.col("difficulty"), F.lit(1), F.lit(True), F.col("validation_flags"), F.col("text"))
+    fixed = prompts.repair_prompt(F.col("domain"), F.coalesce("task", F.lit("user")), F.col("question_en"), F.col("sql"), F.col("difficulty"), F.coalesce("notes", F.lit("duplicate")), F.lit(1), F.lit(True), F.col("text"))
+    return g.select("id", made.alias("generation"), fixed.alias("repair"))
+
+
+@query("""SELECT name, array_to_string(cols, ', ') AS columns FROM (VALUES ('counties', ['county_id', 'county_code', 'county_name']), ('stations', ['station_id', 'station_number', 'station_name', 'county']),
+('trains', ['train_id', 'train_number', 'operator_name', 'category'])) t(name, cols)""")
+def table_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables and their columns."""
+    return spark.createDataFrame([(n, ", ".join(table(spark, sf_dir, n).columns)) for n in ("counties", "stations", "trains")], "name string, columns string")
+
+
+@query("""WITH a AS (SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS n, sum(l_linenumber) AS lines FROM lineitem GROUP BY ALL)
+SELECT CAST(count(*) AS BIGINT) AS n, true AS same, CAST(sum(n) AS BIGINT) AS items FROM a""")
+def result_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two ways to one result have one signature."""
+    li = table(spark, sf_dir, "lineitem")
+    one = li.groupBy(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("lines"))
+    fine = li.groupBy("l_returnflag", "l_linestatus", "l_linenumber").agg(F.count("*").alias("c"))
+    two = fine.groupBy(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("l_linenumber")).alias("lines"))
+    a, b = evaluation.signature_of(one).withColumnRenamed("signature", "s1"), evaluation.signature_of(two).select(F.col("signature").alias("s2"))
+    return a.join(F.broadcast(b)).join(F.broadcast(one.agg(F.sum("n").alias("items")))).select("n", (F.col("s1") == F.col("s2")).alias("same"), "items")
+
+
+_OUTCOME = "CASE CAST(l_orderkey AS BIGINT) % 7 WHEN 0 THEN 'gold_failed' WHEN 1 THEN 'bad_prefix' WHEN 2 THEN 'failed' WHEN 3 THEN 'mismatch' ELSE 'match' END"
+_METRICS = f"""SELECT l_returnflag AS variant, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (o = 'gold_failed') AS BIGINT) AS gold_failures, CAST(count(*) FILTER (o IN ('match', 'mismatch')) AS BIGINT) AS executed,
+CAST(count(*) FILTER (o = 'match' AND l_linenumber = 1) AS BIGINT) AS exact_matches, CAST(count(*) FILTER (o = 'match') AS BIGINT) AS exec_matches FROM (SELECT *, {_OUTCOME} AS o FROM lineitem{{0}}) GROUP BY 1"""
+
+
+def _metrics(spark: SparkSession, sf_dir: str, only: str = "true") -> DataFrame:
+    o = table(spark, sf_dir, "lineitem").where(only).select(F.col("l_returnflag").alias("variant"), F.expr(_OUTCOME).alias("outcome"), "l_linenumber")
+    return evaluation.metrics(o.withColumn("exact", (F.col("outcome") == "match") & (F.col("l_linenumber") == 1)))
+
+
+@query(f"SELECT *, executed / greatest(1, total - gold_failures) AS executed_rate, exact_matches / greatest(1, total - gold_failures) AS exact_rate, exec_matches / greatest(1, total - gold_failures) AS match_rate FROM ({_METRICS.format('')})")
+def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome counts and rates by variant."""
+    return _metrics(spark, sf_dir)
+
+
+def _cmp(x: str) -> str:
+    return f"(SELECT variant, exec_matches / greatest(1, total - gold_failures) AS r FROM ({_METRICS.format(x)}))"
+
+
+@query(f"""SELECT v.variant, coalesce(a.r, 0.0) AS left_rate, coalesce(b.r, 0.0) AS right_rate, printf('%.2f', coalesce(a.r, 0.0) * 100) || '%' AS left_text, CASE WHEN coalesce(b.r, 0.0) - coalesce(a.r, 0.0) >= 0 THEN '+' ELSE '' END || printf('%.2f', (coalesce(b.r, 0.0) - coalesce(a.r, 0.0)) * 100) || 'pp' AS delta_text
+FROM (VALUES ('A'), ('N'), ('R'), ('X')) v(variant) LEFT JOIN {_cmp(" WHERE l_linenumber <= 3")} a ON a.variant = v.variant LEFT JOIN {_cmp(" WHERE l_linenumber > 3")} b ON b.variant = v.variant""")
+def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs side by side."""
+    v = spark.createDataFrame([(x,) for x in "ANRX"], "variant string")
+    got = evaluation.compared(v, _metrics(spark, sf_dir, "l_linenumber <= 3"), _metrics(spark, sf_dir, "l_linenumber > 3"), "match_rate")
+    return got.select("variant", "left_rate", "right_rate", "left_text", "delta_text")
+
+
+_RAIL = """CREATE TABLE stations (station_id INTEGER PRIMARY KEY, station_number INTEGER, station_name VARCHAR(100), county VARCHAR(60));
+CREATE TABLE trains (train_id INTEGER PRIMARY KEY, train_number VARCHAR(20), operator_name VARCHAR(80), category VARCHAR(10));
+CREATE TABLE timetables (timetable_id INTEGER PRIMARY KEY, train_id INTEGER, station_id INTEGER, arrival_time VARCHAR(10), departure_time VARCHAR(10), service_category VARCHAR(50), day_type VARCHAR(200));
+INSERT INTO stations VALUES (1, 10, 'Gara Nord', 'Arnava'); INSERT INTO trains VALUES (1, '2609', '74', 'R'); INSERT INTO timetables VALUES (1, 1, 1, '10:00', '09:50', 'R', 'Zilnic');"""
+_SCHOOL = """CREATE TABLE counties (county_id INTEGER PRIMARY KEY, county_code TEXT UNIQUE, county_name TEXT);
+CREATE TABLE localities (locality_id INTEGER PRIMARY KEY, locality_name TEXT, residency_area TEXT, county_id INTEGER);
+CREATE TABLE schools (school_id INTEGER PRIMARY KEY, school_name TEXT, short_name TEXT, siiir_code TEXT UNIQUE, locality_id INTEGER, ownership_type TEXT, unit_type TEXT, education_level TEXT, number_of_students INTEGER);"""
+
+
+@query()
+def sandbox_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every generated statement run in SQLite over its domain's schema, by status."""
+    g = table(spark, sf_dir, "generated_example").select("id", "db_id", "sql", "task")
+    out = cleaning.validated(g, {"mers_tren": _RAIL, "retea_scolara": _SCHOOL}, strict_non_empty=False)
+    return out.groupBy("db_id", "status").agg(F.count("*").alias("n"))
+
+
+@query()
+def sandbox_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every output run after its own context script; counts of the errors' first words."""
+    q = table(spark, sf_dir, "queries_alpaca_ro").select("id", T.input_parts(F.col("input"))["context"].alias("context"), T.extract_statement(F.col("output")).alias("sql"))
+    out = valid_in_context(q.where("context is not null"), "context", "sql")
+    return out.groupBy(F.coalesce(F.substring_index("error", ":", 1), F.lit("valid")).alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT id, loaded_at > created_at + INTERVAL 7 DAY AS late FROM generated_example""")
+def late_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows loaded more than a week after they were made."""
+    return table(spark, sf_dir, "generated_example").select("id", is_late("created_at", "loaded_at").alias("late"))
+
+
+@query("SELECT date_trunc('day', created_at) AS start, source, CAST(count(*) AS BIGINT) AS n FROM generated_example GROUP BY ALL")
+def window_counts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by day and source (the streaming operator over a batch table)."""
+    return window_counts(table(spark, sf_dir, "generated_example"), "created_at", ["source"])
+
+
+@query("SELECT CAST(count(DISTINCT coalesce(sql, '')) AS BIGINT) AS n FROM generated_example")
+def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first-seen filter of streams, over a batch table."""
+    g = table(spark, sf_dir, "generated_example").select("created_at", F.coalesce("sql", F.lit("")).alias("sql"))
+    return first_seen(g, F.col("sql"), "created_at").agg(F.count("*").alias("n"))
+
+
+# Statements that any SELECT may contain, run natively.
+
+
+def _native(name: str, tables: list[str], sql: str, oracle: str | None = None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        text = sql
+        for t in tables:
+            view = f"{name}_{t}"
+            table(spark, sf_dir, t).createOrReplaceTempView(view)
+            text = text.replace("{" + t + "}", view)
+        return spark.sql(text)
+
+    run.__name__ = name
+    QUERIES[name] = run
+    ORACLE[name] = oracle or sql.replace("{", "").replace("}", "")
+
+
+_native("sql_filter_project", ["orders"], "WITH o AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_totalprice > 200000 THEN 'high' WHEN o_totalprice > 100000 THEN 'mid' ELSE 'low' END AS band FROM {orders} WHERE o_orderpriority LIKE '1%') SELECT * FROM o WHERE o_orderstatus <> 'P'")
+_native("sql_star_join", ["lineitem", "orders", "customer", "nation"], "SELECT n.n_name, CAST(count(*) AS BIGINT) AS items, CAST(sum(l.l_linenumber) AS BIGINT) AS lines FROM {lineitem} l JOIN {orders} o ON o.o_orderkey = l.l_orderkey JOIN {customer} c ON c.c_custkey = o.o_custkey LEFT JOIN {nation} n ON n.n_nationkey = c.c_nationkey GROUP BY n.n_name")
+_native("sql_range_join", ["part"], "SELECT b.name, CAST(count(*) AS BIGINT) AS n FROM {part} p JOIN (VALUES ('small', 1, 15), ('mid', 16, 35), ('large', 36, 50)) b(name, lo, hi) ON p.p_size BETWEEN b.lo AND b.hi GROUP BY b.name")
+_native("sql_semi_anti", ["customer", "orders"], "SELECT 'with' AS kind, CAST(count(*) AS BIGINT) AS n FROM {customer} c WHERE EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey) UNION ALL SELECT 'without', CAST(count(*) AS BIGINT) FROM {customer} c WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey)")
+_native("sql_group_having", ["lineitem"], "SELECT l_suppkey, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT l_partkey) AS BIGINT) AS parts FROM {lineitem} GROUP BY l_suppkey HAVING count(*) > 10")
+_native("sql_string_agg", ["nation", "region"], "SELECT r.r_name, listagg(n.n_name, ', ') WITHIN GROUP (ORDER BY n.n_name) AS nations FROM {nation} n JOIN {region} r ON r.r_regionkey = n.n_regionkey GROUP BY r.r_name", "SELECT r.r_name, string_agg(n.n_name, ', ' ORDER BY n.n_name) AS nations FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey GROUP BY r.r_name")
+_native("sql_window_rank", ["orders"], "SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS n, CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY o_orderpriority) AS BIGINT) AS p FROM {orders}")
+_native("sql_running_sum", ["lineitem"], "SELECT l_orderkey, l_linenumber, CAST(sum(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS upto FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM {lineitem})")
+_native("sql_set_ops", ["customer", "supplier"], "SELECT 'union' AS op, CAST(count(*) AS BIGINT) AS n FROM (SELECT c_nationkey AS k FROM {customer} UNION SELECT s_nationkey FROM {supplier}) UNION ALL SELECT 'intersect', CAST(count(*) AS BIGINT) FROM (SELECT c_nationkey AS k FROM {customer} INTERSECT SELECT s_nationkey FROM {supplier}) UNION ALL SELECT 'except', CAST(count(*) AS BIGINT) FROM (SELECT c_custkey AS k FROM {customer} EXCEPT SELECT s_suppkey FROM {supplier})")
+_native("sql_topk", ["orders"], "SELECT o_orderkey, o_custkey FROM {orders} ORDER BY o_totalprice DESC, o_orderkey LIMIT 25 OFFSET 5")
+_native("sql_scalar_subquery", ["customer"], "SELECT c_custkey FROM {customer} c WHERE c_acctbal > (SELECT avg(c_acctbal) FROM {customer} x WHERE x.c_nationkey = c.c_nationkey)")
+_native("sql_grouping_sets", ["lineitem"], "SELECT l_returnflag, l_linestatus, CAST(count(*) AS BIGINT) AS n FROM {lineitem} GROUP BY CUBE (l_returnflag, l_linestatus)")
+_native("sql_json", ["events"], "SELECT event_type, CAST(sum(CAST(get_json_object(props, '$.k') AS BIGINT)) AS BIGINT) AS k FROM {events} GROUP BY event_type", "SELECT event_type, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k FROM events GROUP BY event_type")
+_native("sql_text_date", ["events"], "SELECT upper(substring(event_type, 1, 3)) AS kind, year(ts) AS y, CAST(count(*) AS BIGINT) AS n FROM {events} GROUP BY ALL", "SELECT upper(substring(event_type, 1, 3)) AS kind, CAST(year(ts) AS INTEGER) AS y, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY ALL")
