@@ -106,7 +106,8 @@ def mixture(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", source:
     spark = docs.sparkSession
     goals = targets.where("source is not null").select(F.col("source"), "target_share", "max_repeats")
     own = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), F.col(text).alias("text")).join(F.broadcast(goals.select("source").distinct()), "source", "left_semi")
-    blocks = cut(packed(encode_corpus(own, "text", "ids", vocabulary).select("id", "source", "ids"), block))
+    encoded = cut(encode_corpus(own, "text", "ids", vocabulary).select("id", "source", "ids"))  # encoded once, counted and packed
+    blocks = cut(packed(encoded, block))
     sizes = blocks.groupBy("source").agg((F.max("block") + 1).alias("blocks"))
     # One row for each target: the fixed list of sources, not the corpus.
     told = [(r.source, r.target_share, r.max_repeats, r.blocks or 0) for r in goals.join(sizes, "source", "left").orderBy("source").collect()]
