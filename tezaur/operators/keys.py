@@ -11,7 +11,7 @@ from ..session import cut
 def first_by_key(df: DataFrame, key: Column, order: str) -> DataFrame:
     """The first row of each key (null is a key of its own).  The minimum is taken before the shuffle, so hot keys do not pile up."""
     cols = df.columns
-    row = F.min_by(F.struct(*cols), order).alias("__row")
+    row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]), order).alias("__row")
     return df.withColumn("__key", key).groupBy("__key").agg(row).select("__row.*")
 
 

@@ -20,7 +20,7 @@ COUNTIES = {
 
 
 def _text(c: str):
-    return T.strip(F.coalesce(F.col(c), F.lit("")))
+    return T.strip(F.coalesce(F.col(f"`{c}`"), F.lit("")))
 
 
 def county_table(network: DataFrame, code: str = "Judet PJ") -> DataFrame:
