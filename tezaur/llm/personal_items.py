@@ -148,8 +148,12 @@ def disclosure(readings: DataFrame, bits: float, context_share: float, context_c
     mail = readings.select(F.explode("mail").alias("k")).groupBy("k").agg(F.count("*").alias("m"))
     totals = terms.agg(F.sum("n").alias("all_n")).crossJoin(mail.agg(F.sum("m").alias("all_m")))  # one row
     both = mail.withColumn("t", F.substring("k", 3, 1 << 20)).join(terms, "t").join(F.broadcast(totals))
-    weighed = both.select(F.col("k").alias("key"), F.log2((F.col("m") / F.col("all_m")) / (F.col("n") / F.col("all_n"))).alias("bits"))
-    known = cut(weighed.where(F.col("bits") >= bits))
+    weighed = both.select(F.col("k").alias("key"), "t", F.log2((F.col("m") / F.col("all_m")) / (F.col("n") / F.col("all_n"))).alias("bits"))
+    # A term is a given name where it comes first in pairs more often than second, otherwise a family name.
+    ends = readings.select(F.explode("names").alias("x")).select(F.explode(F.array(F.struct(F.substring(given_key(F.col("x.first")), 3, 1 << 20).alias("t"), F.lit(1).alias("d")), F.struct(F.substring(family_key(F.col("x.second")), 3, 1 << 20).alias("t"), F.lit(-1).alias("d")))).alias("e"))
+    lean = ends.groupBy("e.t").agg(F.sum("e.d").alias("lean"))
+    fits = F.coalesce("lean", F.lit(0)) * F.when(F.col("key").startswith("g:"), 1).otherwise(-1) >= 0
+    known = cut(weighed.where(F.col("bits") >= bits).join(lean, "t", "left").where(fits).select("key", "bits"))
     pairs = readings.select(F.explode("names").alias("x")).select(given_key(F.col("x.first")).alias("key"), F.concat(F.lit("c:"), F.col("x.left")).alias("c"))
     per = pairs.groupBy("key", "c").agg(F.count("*").alias("n")).join(known, "key", "left")
     contexts = per.groupBy("c").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("bits").isNotNull(), F.col("n")).otherwise(0)).alias("k"))
@@ -157,7 +161,7 @@ def disclosure(readings: DataFrame, bits: float, context_share: float, context_c
     return known.unionByName(contexts.select(F.col("c").alias("key"), (F.col("k") / F.col("n")).alias("bits")))
 
 
-def find_items(df: DataFrame, id_col: str = "doc_id", text: str = "text", bits: float = 1.5, context_share: float = 0.5, context_count: int = 3) -> DataFrame:
+def find_items(df: DataFrame, id_col: str = "doc_id", text: str = "text", bits: float = 1.5, context_share: float = 0.8, context_count: int = 3) -> DataFrame:
     """(id, items array<struct<pii_type, start, size>>) of every row, starts counted in characters from 1.
 
     Null and empty texts have no items.  Equal texts are read once.  ``bits`` is the disclosure threshold of terms; a left context counts
@@ -192,15 +196,14 @@ def _chosen(items, names, known) -> list[dict]:
         if a < reach:
             continue
         first, second = n["first"], n["second"]
-        initial = first.endswith(".")
-        given = not initial and f"g:{first.split('-')[0]}" in known
+        given = not first.endswith(".") and f"g:{first.split('-')[0]}" in known
         family = f"f:{second.split('-')[0]}" in known
         context = f"c:{n['left']}" in known
         # The second term begins a name of its own: the first is a title or closes the text before.
         later = by_start.get(a + len(first) + 1)
         if later is not None and not given and f"g:{second.split('-')[0]}" in known:
             continue
-        if given or family and (context or not initial or first not in ("a.", "b.", "c.")) or context and not n["shouted"]:
+        if given or family or context and not n["shouted"]:
             out.append({"pii_type": "name", "start": a, "size": int(n["size"])})
             reach = a + int(n["size"])
     return out
