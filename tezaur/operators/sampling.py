@@ -61,5 +61,5 @@ def interleaved(first: DataFrame, second: DataFrame, id_col: str, share: float,
     a = shuffled(first, id_col, seed, "place").withColumn("at", (F.col("place") - 0.5) / share).withColumn("part", F.lit(0))
     b = shuffled(second, id_col, seed + 1, "place").withColumn("at", (F.col("place") - 0.5) / (1 - share)).withColumn("part", F.lit(1))
     both = a.unionByName(b)
-    ends = both.groupBy("part").agg(F.max("at").alias("end")).agg(F.min("end").alias("end"))
-    return both.join(F.broadcast(ends)).withColumn("used", F.col("at") <= F.col("end")).drop("end")
+    end = both.groupBy("part").agg(F.max("at").alias("end")).agg(F.min("end")).first()[0]
+    return both.withColumn("used", F.col("at") <= F.lit(end))

@@ -29,7 +29,8 @@ def schema_text(tables: DataFrame, hints: DataFrame | None, domain: str, db_id:
         return a.select(head.alias("text"))
     shown = F.concat(F.lit("- "), F.col("key"), F.lit(": "), F.array_join(F.slice("values", 1, most), ", "))
     b = hints.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("key", shown.alias("line")))), lambda x: x["line"]), "\n").alias("b"))
-    return a.join(F.broadcast(b)).select(F.when(F.col("b") == "", head).otherwise(F.concat(head, F.lit("\nValue hints:\n"), F.col("b"))).alias("text"))
+    one = F.lit(1).alias("one")  # both have one row
+    return a.select("a", one).join(b.select("b", one), "one").select(F.when(F.col("b") == "", head).otherwise(F.concat(head, F.lit("\nValue hints:\n"), F.col("b"))).alias("text"))
 
 
 def rules(task: Column, min_rows: Column, strict: Column) -> Column:

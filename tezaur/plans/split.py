@@ -20,8 +20,8 @@ def first_written(df: DataFrame, order: str, written: str, most: int | None) ->
     """Rows up to the one by which ``most`` rows (those where ``written`` is true) were written; later rows do not even count as read."""
     if most is None:
         return df
-    last = df.where(F.col(written)).orderBy(order).limit(most).agg(F.max(order).alias("last"), F.count("*").alias("n"))
-    return df.join(F.broadcast(last)).where((F.col("n") < most) | (F.col(order) <= F.col("last"))).drop("last", "n")
+    last, n = df.where(F.col(written)).orderBy(order).limit(most).agg(F.max(order), F.count("*")).first()
+    return df if n < most else df.where(F.col(order) <= last)
 
 
 def file_counts(df: DataFrame, source: str, written: str) -> DataFrame:

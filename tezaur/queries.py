@@ -391,7 +391,7 @@ def generation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = spark.createDataFrame([(n, table(spark, sf_dir, n).columns) for n in names], "name string, columns array<string>")
     hints = stats.distinct_values(table(spark, sf_dir, "timetables"), "day_type", 20).agg(F.array_sort(F.collect_list("value")).alias("values")).select(F.lit("timetables.day_type").alias("key"), "values")
     schema = prompts.schema_text(tables, hints, "trains", "rail_mers_tren", 12)
-    g = table(spark, sf_dir, "generated_example").join(F.broadcast(schema))
+    g = table(spark, sf_dir, "generated_example").withColumn("text", F.lit(schema.first().text))
     made = prompts.generation_prompt(F.col("domain"), F.col("task"), F.col("difficulty"), F.lit(1), F.lit(True), F.col("validation_flags"), F.col("text"))
     fixed = prompts.repair_prompt(F.col("domain"), F.coalesce("task", F.lit("user")), F.col("question_en"), F.col("sql"), F.col("difficulty"), F.coalesce("notes", F.lit("duplicate")), F.lit(1), F.lit(True), F.col("text"))
     return g.select("id", made.alias("generation"), fixed.alias("repair"))
@@ -412,8 +412,8 @@ def result_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     one = li.groupBy(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).agg(F.count("*").alias("n"), F.sum("l_linenumber").alias("lines"))
     fine = li.groupBy("l_returnflag", "l_linestatus", "l_linenumber").agg(F.count("*").alias("c"))
     two = fine.groupBy(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("l_linenumber")).alias("lines"))
-    a, b = evaluation.signature_of(one).withColumnRenamed("signature", "s1"), evaluation.signature_of(two).select(F.col("signature").alias("s2"))
-    return a.join(F.broadcast(b)).join(F.broadcast(one.agg(F.sum("n").alias("items")))).select("n", (F.col("s1") == F.col("s2")).alias("same"), "items")
+    a, b, items = evaluation.signature_of(one), evaluation.signature_of(two), one.agg(F.count("*").alias("n"), F.sum("n").alias("items"))
+    return a.join(b.select("n", F.col("signature").alias("other")), "n").join(items, "n").select("n", (F.col("signature") == F.col("other")).alias("same"), "items")
 
 
 _OUTCOME = "CASE CAST(l_orderkey AS BIGINT) % 7 WHEN 0 THEN 'gold_failed' WHEN 1 THEN 'bad_prefix' WHEN 2 THEN 'failed' WHEN 3 THEN 'mismatch' ELSE 'match' END"
