@@ -146,9 +146,9 @@ def disclosure(readings: DataFrame, bits: float, context_share: float, context_c
     """(key, bits): terms (g: given, f: family) and left contexts (c:) that disclose a person by at least ``bits``."""
     terms = readings.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
     mail = readings.select(F.explode("mail").alias("k")).groupBy("k").agg(F.count("*").alias("m"))
-    totals = terms.agg(F.sum("n").alias("all_n")).crossJoin(mail.agg(F.sum("m").alias("all_m")))  # one row
-    both = mail.withColumn("t", F.substring("k", 3, 1 << 20)).join(terms, "t").join(F.broadcast(totals))
-    weighed = both.select(F.col("k").alias("key"), "t", F.log2((F.col("m") / F.col("all_m")) / (F.col("n") / F.col("all_n"))).alias("bits"))
+    all_n, all_m = (x.first()[0] or 1 for x in (terms.agg(F.sum("n")), mail.agg(F.sum("m"))))
+    both = mail.withColumn("t", F.substring("k", 3, 1 << 20)).join(terms, "t")
+    weighed = both.select(F.col("k").alias("key"), "t", F.log2((F.col("m") / all_m) / (F.col("n") / all_n)).alias("bits"))
     # A term is a given name where it comes first in pairs more often than second, otherwise a family name.
     ends = readings.select(F.explode("names").alias("x")).select(F.explode(F.array(F.struct(F.substring(given_key(F.col("x.first")), 3, 1 << 20).alias("t"), F.lit(1).alias("d")), F.struct(F.substring(family_key(F.col("x.second")), 3, 1 << 20).alias("t"), F.lit(-1).alias("d")))).alias("e"))
     lean = ends.groupBy("e.t").agg(F.sum("e.d").alias("lean"))

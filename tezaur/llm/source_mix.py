@@ -139,6 +139,5 @@ def mixture(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", source:
 def report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, reached_share, tokens, most_copies, max_repeats) for every target."""
     per = mixed.groupBy("source").agg(F.sum(F.size("ids")).alias("tokens"), F.max("copy").alias("most_copies"))
-    all_tokens = per.agg(F.sum("tokens").alias("all_tokens"))  # one row
-    joined = targets.join(per, "source", "left").join(F.broadcast(all_tokens))
+    joined = targets.join(per, "source", "left").withColumn("all_tokens", F.sum("tokens").over(Window.partitionBy(F.lit(1))))  # the targets: few rows
     return joined.select("source", "target_share", F.coalesce(F.col("tokens") / F.col("all_tokens"), F.lit(0.0)).alias("reached_share"), F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"), "max_repeats")
