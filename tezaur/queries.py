@@ -12,7 +12,7 @@ from .functions.temporal import clock, weekdays
 from .operators import keys, sampling, stats
 from .operators.sandbox import valid_in_context
 from .operators.waterfall import classified, counters, keep_rate
-from .plans import cleaning, evaluation, exports, prompts
+from .plans import cleaning, evaluation, exports, introspect, prompts
 from .plans.split import evaluation_split, file_counts
 from .session import table
 from .sources.dumps import insert_statements
@@ -384,6 +384,18 @@ def translation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "generated_example").select("id", F.md5(prompts.translation_prompt(F.col("question_en"), F.col("domain"))).alias("translation"), F.md5(T.task(F.col("task"))).alias("task"))
 
 
+def _hint(t: str, c: str, n: int) -> str:
+    return f"SELECT '{t}.{c}' AS key, array_to_string(list_sort(list(v)), '|') AS vals FROM (SELECT trim({c}) AS v FROM (SELECT DISTINCT {c} FROM {t} WHERE {c} IS NOT NULL ORDER BY {c} LIMIT {n}) WHERE trim({c}) <> '')"
+
+
+@query(" UNION ALL ".join(_hint(*x) for x in introspect.DISTINCT["trains"]) + """ UNION ALL SELECT 'stations.top_station_names', string_agg(station_name, '|' ORDER BY n DESC, station_name) FROM (SELECT s.station_id, s.station_name, count(*) AS n
+FROM timetables t JOIN stations s ON s.station_id = t.station_id GROUP BY s.station_id, s.station_name ORDER BY n DESC, station_name ASC NULLS FIRST, station_id LIMIT 20) WHERE station_name IS NOT NULL""")
+def hint_presets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1-O3: the value hints of the rail domain."""
+    tables = {n: table(spark, sf_dir, n) for n in ("stations", "trains", "timetables")}
+    return introspect.hints(tables, "trains").select("key", F.array_join("values", "|").alias("vals"))
+
+
 @query()
 def generation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generation and repair prompts of every record, with the schema text of the rail tables."""
