@@ -17,7 +17,8 @@ def plain(text):
         if regex.search(r"\p{Latin}", w):
             w = "".join(N.LOOK_ALIKE.get(c, c) for c in w)
         for base, old, new in N.ROMANIAN:
-            w = regex.sub(rf"{base}(\p{{M}}*){old}", rf"{base}\1{new}", w)
+            while (fixed := regex.sub(rf"{base}(\p{{M}}*){old}", rf"{base}\1{new}", w)) != w:
+                w = fixed
         out.append(w)
     return U.normalize("NFC", "".join(out))
 
