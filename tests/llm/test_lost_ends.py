@@ -1,3 +1,5 @@
+import unicodedata
+
 from tezaur.llm import lost_ends as E
 
 
@@ -45,3 +47,28 @@ def test_found_and_rates(spark):
 
 def test_empty(spark):
     assert E.lost_ends(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_limits_below_the_longest_text(spark):
+    def text(n, i, end=" cel mult 10 rânduri"):
+        return (f"Arată {i:02d} " + "gara Arad " * 30)[: n - len(end) - 1] + "a" + end
+
+    # Texts of many lengths, a quarter of them without terminator.
+    data = [("q", f"{s}{i}", s, text(45 + i * k // 4, i, " cel mult 10 rânduri" + "." * (i % 4 > 0)), None, None) for s, k in (("limit", 1), ("parts", 2)) for i in range(280)]
+    # Whole words up to a limit; texts that letters decomposed afterwards make longer; two limits in one source, with longer texts.
+    data += [("q", f"x{i}", "limit", text(120, i), None, None) for i in range(20)] + [("q", "y", "limit", text(131, 0) + ".", None, None)]
+    data += [("q", f"d{i}", "limit", unicodedata.normalize("NFD", text(120, i)), None, None) for i in range(3)]
+    data += [("q", f"u{n}_{i}", "parts", text(n, i), None, None) for n in (100, 150) for i in range(60)]
+    lost = {r.record_id for r in E.lost_ends(spark.createDataFrame(data, SCHEMA)).where("lost").collect()}
+    limited = {r[1] for r in data if r[1][0] in "xdu"}
+    assert limited <= lost
+    # Beside them only texts that end at a limit by chance.
+    assert {r[1] for r in data if r[1] in lost - limited} <= {r[1] for r in data if len(r[3]) in (100, 120, 150)}
+
+
+def test_complete_text_at_a_limit(spark):
+    ends = [("scrise în română", "written in Romanian"), ("încărcate târziu", "loaded late"), ("pe o singură pagină", "on a single page")]
+    data = [("q", f"a{i}", "free", f"Arată {'gara ' * (i % 30)}cu date {ends[i % 3][0]}{'.' * (i % 4 > 0)}", None, f"Show data {ends[i % 3][1]}.") for i in range(300)]
+    data += [("q", f"l{i}", "limit", ("Arată " + "gara " * 30)[:80] + " cu date scrise în română", None, f"Show data {ends[i > 0][1]}.") for i in range(20)]
+    lost = {r.record_id for r in E.lost_ends(spark.createDataFrame(data, SCHEMA)).where("lost").collect()}
+    assert lost == {f"l{i}" for i in range(1, 20)}

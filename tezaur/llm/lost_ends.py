@@ -12,9 +12,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -84,7 +85,7 @@ def end_of(text: str, sibling: str | None, values: str | None = None) -> dict:
     numbers a complete text names too."""
     tail = text.rstrip()
     core = _CLOSING.sub("", tail)
-    raw = [w for w in core[-160:].split() if clean_word(w)][-6:]
+    raw = _last_words(core)
     words = [clean_word(w) for w in raw]
     last = words[-1].lower() if words else ""
     dots = core.endswith(("...", "…")) or core.endswith("..") and last not in SHORT
@@ -120,6 +121,10 @@ def end_of(text: str, sibling: str | None, values: str | None = None) -> dict:
     return out
 
 
+def _last_words(core: str) -> list[str]:
+    return [w for w in core[-160:].split() if clean_word(w)][-6:]
+
+
 def _end(words: list[str]) -> str:
     """The last words as a context; a name at the end counts as one word N."""
     k = len(words)
@@ -132,6 +137,8 @@ def _end(words: list[str]) -> str:
 
 SCHEMA = "stopped boolean, dots boolean, bad boolean, end string, last string, part boolean, weak boolean, missing boolean"
 NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
+# Lengths that a limit may count, of the text as it is and of the composed one (letters decomposed after the cut make it longer).
+UNITS = ["chars", "bytes", "composed_chars", "composed_bytes"]
 
 
 def question_of(context: str) -> Column:
@@ -142,19 +149,30 @@ def question_of(context: str) -> Column:
 def with_ends(df: DataFrame) -> DataFrame:
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, siblings, named in batches:
-            rows = [end_of(t, s, v) if t and t.strip() else dict.fromkeys(NAMES) for t, s, v in zip(texts, siblings, named)]
-            yield pd.DataFrame(rows, columns=NAMES)
+            rows = [(end_of(t, s, v) if t and t.strip() else dict.fromkeys(NAMES)) | lengths_of(t) | {"other": _end([clean_word(w) for w in _last_words(_CLOSING.sub("", v.rstrip()))]) if v else ""} for t, s, v in zip(texts, siblings, named)]
+            yield pd.DataFrame(rows, columns=[*NAMES, *UNITS, "other"]).astype(dict.fromkeys(UNITS, "Int64"))
+
+    return df.withColumn("e", F.pandas_udf(run, ", ".join([SCHEMA, *[f"{u} int" for u in UNITS], "other string"]))("text", "sibling", "named"))
+
 
-    return df.withColumn("e", F.pandas_udf(run, SCHEMA)("text", "sibling", "named"))
+def lengths_of(text: str | None) -> dict:
+    composed = None if text is None else unicodedata.normalize("NFC", text)
+    return dict(zip(UNITS, [n for t in (text, composed) for n in ((None, None) if t is None else (len(t), len(t.encode())))]))
 
 
 def source_limits(lengths: DataFrame) -> DataFrame:
-    """lengths(field_name, source, unit, n, texts) -> (field_name, source, unit, most): limits of a source, where its longest texts pile
-    up: at least five texts, and three times what the twenty lengths below have on average."""
-    most = lengths.groupBy("field_name", "source", "unit").agg(F.max("n").alias("most"))
-    near = lengths.join(most, ["field_name", "source", "unit"]).where(F.col("n") > F.col("most") - 21)
-    piles = near.groupBy("field_name", "source", "unit", "most").agg(F.sum(F.when(F.col("n") == F.col("most"), F.col("texts")).otherwise(0)).alias("at"), F.sum(F.when(F.col("n") < F.col("most"), F.col("texts")).otherwise(0)).alias("below"))
-    return piles.where((F.col("at") >= 5) & (F.col("at") * 20 > F.col("below") * 3)).select("field_name", "source", "unit", "most")
+    """lengths(field_name, source, unit, n, texts, open) -> (field_name, source, unit, most): limits of a source, the lengths where its texts
+    pile up.  ``open`` counts the texts without terminator.  A pile has at least five texts, three times what the twenty lengths below have
+    on average, and three times what the twenty lengths above have together (few texts grew after the cut); or, where a limit held for a
+    part of the source only, at least ten open texts, ten times the average of the open ones on either side, and three times the terminated
+    texts that are longer by the terminator (else texts of one make pile up)."""
+    own = Window.partitionBy("field_name", "source", "unit").orderBy("n")
+    near = lambda c, a, b: F.coalesce(F.sum(c).over(own.rangeBetween(a, b)), F.lit(0))
+    sides = lengths.select("*", *[near(c, a, b).alias(f"{c}_{side}") for c in ("texts", "open") for side, a, b in (("below", -20, -1), ("above", 1, 20))])
+    sides = sides.withColumn("closed", near(F.col("texts") - F.col("open"), 1, 1))
+    last = (F.col("texts") >= 5) & (F.col("texts") * 20 > F.col("texts_below") * 3) & (F.col("texts") > F.col("texts_above") * 3)
+    part = (F.col("open") >= 10) & (F.col("open") * 2 > F.greatest("open_below", "open_above")) & (F.col("open") > F.col("closed") * 3)
+    return sides.where(last | part).select("field_name", "source", "unit", F.col("n").alias("most"))
 
 
 def lost_ends(df: DataFrame, usual: float = 0.001, unusual: float = 0.008) -> DataFrame:
@@ -164,11 +182,10 @@ def lost_ends(df: DataFrame, usual: float = 0.001, unusual: float = 0.008) -> Da
     terminator that does so where terminated texts never have it.  Null and blank texts are complete.  Rows come out as they came in,
     repeated ones repeatedly.
     """
-    e = with_ends(df).select("field_name", "record_id", "source", F.char_length("text").alias("chars"), F.octet_length("text").alias("bytes"), "e.*")
-    e = cut(e)
-    sizes = e.select("field_name", "source", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("n")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("n")))).alias("x"))
-    lengths = sizes.groupBy("field_name", "source", "x.unit", "x.n").agg(F.count("*").alias("texts"))
-    limits = source_limits(lengths).groupBy("field_name", "source").agg(F.max(F.when(F.col("unit") == "chars", F.col("most"))).alias("most_chars"), F.max(F.when(F.col("unit") == "bytes", F.col("most"))).alias("most_bytes"))
+    e = cut(with_ends(df).select("field_name", "record_id", "source", "e.*"))
+    sizes = e.where("chars is not null").select("field_name", "source", "stopped", F.explode(F.array(*[F.struct(F.lit(u).alias("unit"), F.col(u).alias("n")) for u in UNITS])).alias("x"))
+    lengths = sizes.groupBy("field_name", "source", "x.unit", "x.n").agg(F.count("*").alias("texts"), F.count_if(~F.col("stopped")).alias("open"))
+    limits = source_limits(lengths).groupBy("field_name", "source").agg(*[F.collect_set(F.when(F.col("unit") == u, F.col("most"))).alias(f"most_{u}") for u in UNITS])
     whole = ~F.col("missing") & ~F.col("part") & ~F.col("bad")
     ends = e.where("stopped is not null").groupBy("field_name", "end").agg(F.max("last").alias("last"), F.count_if("stopped").alias("with_stop"), F.count_if(~F.col("stopped") & whole).alias("without"))
     totals = ends.groupBy("field_name").agg(F.sum("with_stop").alias("all_with"), F.sum("without").alias("all_without"))
@@ -186,7 +203,16 @@ def lost_ends(df: DataFrame, usual: float = 0.001, unusual: float = 0.008) -> Da
     open_ = open_.join(limits, ["field_name", "source"], "left")
     usual_end = F.coalesce(F.col("strong"), F.lit(False)) | (F.col("with_stop") * 4 >= F.col("without")) & (F.col("with_stop") > 0)
     usual_end = usual_end | F.pandas_udf(spelled, "boolean")("field_name", "last")
-    at_limit = F.coalesce(F.col("chars") == F.col("most_chars"), F.lit(False)) | F.coalesce(F.col("bytes") == F.col("most_bytes"), F.lit(False))
+    at_limit = F.coalesce(reduce(Column.__or__, [F.array_contains(f"most_{u}", F.col(u)) for u in UNITS]), F.lit(False))
+    # A text as long as a limit is complete where its record's other text closes with what goes with its end in terminated texts (three
+    # times as often as by chance).
+    pairs = e.where("stopped and other <> ''").groupBy("field_name", "end", "other").agg(F.count("*").alias("both"))
+    alone = lambda *cs: F.sum("both").over(Window.partitionBy("field_name", *cs))
+    pairs = pairs.select("*", alone("end").alias("of_end"), alone("other").alias("of_other"))
+    pairs = pairs.join(F.broadcast(pairs.groupBy("field_name").agg(F.sum("both").alias("of_all"))), "field_name")
+    pairs = pairs.where(F.col("both") > 1).where(F.col("both").cast("double") * F.col("of_all") >= 3 * F.col("of_end").cast("double") * F.col("of_other"))
+    open_ = open_.join(pairs.select("field_name", "end", "other", F.lit(True).alias("paired")), ["field_name", "end", "other"], "left")
+    at_limit = at_limit & F.col("paired").isNull()
     # Where a usual end closes the text with a word, values that lack lack by choice.
     missing = F.col("missing") & ~(F.coalesce(F.col("strong"), F.lit(False)) & ~F.col("last").endswith("#"))
     lost = F.col("bad") | F.col("part") | missing | F.col("weak") & ~F.coalesce(F.col("strong"), F.lit(False)) | ~usual_end | at_limit
