@@ -72,3 +72,13 @@ def test_complete_text_at_a_limit(spark):
     data += [("q", f"l{i}", "limit", ("Arată " + "gara " * 30)[:80] + " cu date scrise în română", None, f"Show data {ends[i > 0][1]}.") for i in range(20)]
     lost = {r.record_id for r in E.lost_ends(spark.createDataFrame(data, SCHEMA)).where("lost").collect()}
     assert lost == {f"l{i}" for i in range(1, 20)}
+
+
+def test_usual_last_word_in_another_context(spark):
+    data = [("q", f"a{i}", "s", f"Arată {'gara ' * (i % 30)}cu cel mult {i} rânduri{'.' * (i % 4 > 0)}", None, None) for i in range(300)]
+    data += [("q", f"t{i}", "s", f"Arată {'gara ' * (i % 30)}încărcate târziu{'.' * (i % 4 > 0)}", None, None) for i in range(100)]
+    data += [("q", f"l{i}", "s", f"Arată {'gara ' * i}ținând cont că unele rânduri", None, None) for i in range(2)]
+    data += [("q", "near", "s", "Arată cu cel mult 10 rândrui", None, None), ("q", "plain", "s", "Arata ce a fost incarcate tarziu", None, None), ("q", "part", "s", "Arată ce a fost încărcate târzi", None, None)]
+    assert E._near("rndrui", {"rnduri"}) and not E._near("rnduri", {"rnduri"})
+    lost = {r.record_id for r in E.lost_ends(spark.createDataFrame(data, SCHEMA)).where("lost").collect()}
+    assert lost == {"l0", "l1", "part"}

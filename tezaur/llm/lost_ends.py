@@ -137,6 +137,7 @@ def _end(words: list[str]) -> str:
 
 SCHEMA = "stopped boolean, dots boolean, bad boolean, end string, last string, part boolean, weak boolean, missing boolean"
 NAMES = [x.split()[0] for x in SCHEMA.split(", ")]
+_ACCENTED = re.compile("[aist]")
 # Lengths that a limit may count, of the text as it is and of the composed one (letters decomposed after the cut make it longer).
 UNITS = ["chars", "bytes", "composed_chars", "composed_bytes"]
 
@@ -192,18 +193,26 @@ def lost_ends(df: DataFrame, usual: float = 0.001, unusual: float = 0.008) -> Da
     ends = ends.join(F.broadcast(totals), "field_name")
     # Ends that many texts share: at most 1 / usual for each field.
     strong = (F.col("with_stop") >= F.greatest(F.lit(2), F.col("all_with") * usual)) | (F.col("without") >= F.greatest(F.lit(3), F.col("all_without") * unusual))
-    known = {}
-    for r in ends.where(strong).select("field_name", "last").distinct().toLocalIterator():
-        known.setdefault(r.field_name, set()).add(r["last"])
+    known, accented = {}, {}
+    for r in ends.where(strong).select("field_name", "end").distinct().toLocalIterator():
+        for context, word in _gaps(r.end):
+            known.setdefault((r.field_name, *context), set()).add(word)
+        accented.setdefault((r.field_name, _ACCENTED.sub("", r.end)), set()).add(r.end)
 
-    def spelled(fields: pd.Series, lasts: pd.Series) -> pd.Series:
-        return pd.Series([_near(w, known.get(f, ())) for f, w in zip(fields, lasts)])
+    def spelled(fields: pd.Series, found: pd.Series) -> pd.Series:
+        near = lambda f, end: any(_near(w, known.get((f, *c), ())) for c, w in _gaps(end))
+        return pd.Series([near(f, end) or any(_without_accents(end, k) for k in accented.get((f, _ACCENTED.sub("", end)), ())) for f, end in zip(fields, found)], dtype=bool)
 
     open_ = e.where("not stopped").join(ends.select("field_name", "end", "with_stop", "without", strong.alias("strong")), ["field_name", "end"], "left")
     open_ = open_.join(limits, ["field_name", "source"], "left")
     usual_end = F.coalesce(F.col("strong"), F.lit(False)) | (F.col("with_stop") * 4 >= F.col("without")) & (F.col("with_stop") > 0)
-    usual_end = usual_end | F.pandas_udf(spelled, "boolean")("field_name", "last")
+    usual_end = usual_end | F.pandas_udf(spelled, "boolean")("field_name", "end")
     at_limit = F.coalesce(reduce(Column.__or__, [F.array_contains(f"most_{u}", F.col(u)) for u in UNITS]), F.lit(False))
+    # A usual last word that in further contexts, too, closes as many terminated texts as others (a closing thanks) is usual after any.
+    further = ends.where(~strong).groupBy("field_name", "last").agg(F.sum("with_stop").alias("closing"), F.sum("without").alias("not_closing"), F.count_if(F.col("with_stop") > 0).alias("contexts"))
+    further = further.where("contexts >= 5 and closing >= not_closing").join(ends.where(strong).select("field_name", "last").distinct(), ["field_name", "last"], "left_semi")
+    open_ = open_.join(F.broadcast(further.select("field_name", "last", F.lit(True).alias("closes"))), ["field_name", "last"], "left")
+    usual_end = usual_end | F.col("closes").isNotNull()
     # A text as long as a limit is complete where its record's other text closes with what goes with its end in terminated texts (three
     # times as often as by chance).
     pairs = e.where("stopped and other <> ''").groupBy("field_name", "end", "other").agg(F.count("*").alias("both"))
@@ -220,12 +229,24 @@ def lost_ends(df: DataFrame, usual: float = 0.001, unusual: float = 0.008) -> Da
     return judged.unionByName(e.where("stopped or stopped is null").select("field_name", "record_id", "source", F.lit(False).alias("lost")))
 
 
+def _gaps(end: str) -> list[tuple[tuple, str]]:
+    """Each word of an end, after what stands beside it: its place and the other words."""
+    words = end.split(" ")
+    return [((i, *words[:i], "", *words[i + 1 :]), w) for i, w in enumerate(words)]
+
+
+def _without_accents(end: str, known: str) -> bool:
+    """Whether an end is a known one in letters without accents, which a skeleton keeps."""
+    left = iter(end)
+    return end != known and all(c in left for c in known)
+
+
 def _near(word: str, known: set[str]) -> bool:
-    """Whether the word is a usual last word with one letter wrong, missing, doubled or swapped (and no mere beginning of one)."""
+    """Whether the word is a known one with one letter wrong, missing, doubled or swapped (not an equal one, and no mere beginning of one)."""
     if len(word) < 5 or any(k.startswith(word) and k != word for k in known):
         return False
     for k in known:
-        if abs(len(k) - len(word)) < 2 and len(k) > 4:
+        if k != word and abs(len(k) - len(word)) < 2 and len(k) > 4:
             i = next((i for i, (a, b) in enumerate(zip(k, word)) if a != b), min(len(k), len(word)))
             if word[i + 1 :] in (k[i + 1 :], k[i:]) or word[i:] == k[i + 1 :] or word[i : i + 2] == k[i : i + 2][::-1] and word[i + 2 :] == k[i + 2 :]:
                 return True
