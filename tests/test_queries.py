@@ -40,3 +40,17 @@ def test_runs(spark, sf_dir, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_records_equal_a_greedy_loop(spark, duck, sf_dir):
+    normal = lambda x: None if x is None else " ".join(x.split()).lower()
+    statements, questions, want = set(), set(), []
+    for i, sql, question in duck.execute("SELECT id, sql, question_en FROM generated_example ORDER BY id").fetchall():
+        a, b = normal(sql), normal(question)
+        if a not in statements and b not in questions:
+            want.append(i)
+            statements.add(a)
+            questions.add(b)
+    total = duck.execute("SELECT count(*) FROM generated_example").fetchone()[0]
+    got = sorted(r.id for r in core.QUERIES["dedup_records"](spark, sf_dir).collect())
+    assert got == want and total / 2 < len(got) < total

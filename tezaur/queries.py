@@ -252,11 +252,18 @@ f AS (SELECT list_reduce(list_prepend({'o': NULL, 'a': NULL, 'b': NULL, 'ids': [
  lambda acc, x: CASE WHEN list_contains(acc.ka, x.a) OR list_contains(acc.kb, x.b) THEN acc ELSE {'o': NULL, 'a': NULL, 'b': NULL, 'ids': list_append(acc.ids, x.o), 'ka': list_append(acc.ka, x.a), 'kb': list_append(acc.kb, x.b)} END) AS s FROM r)
 SELECT unnest(s.ids) AS doc_id FROM f""")
 def dedup_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy deduplication on either of two keys."""
+    """D3: greedy deduplication on either of two keys, here cut so short that SQL can follow; `dedup_records` runs it on the real keys."""
     d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.substring("text", 1, 2), F.lit("")).alias("a"), F.coalesce(F.right("text", F.lit(3)), F.lit("")).alias("b"))
     return keys.two_key_dedup(d, "doc_id", F.col("a"), F.col("b")).select("doc_id")
 
 
+@query()
+def dedup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy deduplication of the generated records on normalised statement or normalised question, in order of id."""
+    g = table(spark, sf_dir, "generated_example").select("id", "domain", "task", "sql", "question_en")
+    return keys.two_key_dedup(g, "id", T.normal(F.col("sql")), T.normal(F.col("question_en"))).select("id", "domain", "task")
+
+
 @query("SELECT CAST(row_number() OVER (ORDER BY county) AS BIGINT) AS county_id, county AS county_code FROM (SELECT DISTINCT county FROM stations WHERE county <> '')")
 def dense_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbered distinct values."""
