@@ -54,3 +54,12 @@ def test_records_equal_a_greedy_loop(spark, duck, sf_dir):
     total = duck.execute("SELECT count(*) FROM generated_example").fetchone()[0]
     got = sorted(r.id for r in core.QUERIES["dedup_records"](spark, sf_dir).collect())
     assert got == want and total / 2 < len(got) < total
+
+
+def test_judged_statements(spark, sf_dir, duck):
+    total = duck.execute("SELECT count(*) FROM generated_example").fetchone()[0]
+    got = {r.variant: r for r in core.QUERIES["eval_judged"](spark, sf_dir).collect()}
+    stored = got["stored"]
+    assert set(got) == {"stored", "lower", "none"} and all(r.total == total and r.gold_failures == stored.gold_failures for r in got.values())
+    assert 0 < stored.gold_failures < total and stored.exec_matches == stored.exact_matches == total - stored.gold_failures
+    assert 0 < got["none"].exec_matches < got["none"].executed and got["none"].exact_matches == 0

@@ -482,6 +482,18 @@ def sandbox_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("db_id", "status").agg(F.count("*").alias("n"))
 
 
+@query()
+def eval_judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored statements (as they are, in lower case, and limited to no row) run against themselves as gold, by variant.  Over the
+    sandbox's few rows."""
+    g = table(spark, sf_dir, "generated_example")
+    gold = g.select(F.col("id").alias("case_id"), "db_id", F.col("sql").alias("gold_sql"), F.col("id").alias("source_line"))
+    none = F.concat(F.lit("SELECT * FROM ("), F.regexp_replace("sql", r"[;\s]+$", ""), F.lit("\n) LIMIT 0"))
+    forms = F.array(*[F.struct(F.lit(v).alias("variant"), x.alias("pred_sql")) for v, x in (("stored", F.col("sql")), ("lower", F.lower("sql")), ("none", none))])
+    predictions = g.select(F.col("id").alias("case_id"), F.explode(forms).alias("x")).select("x.variant", "case_id", "x.pred_sql")
+    return evaluation.metrics(evaluation.judged(predictions, gold, {"mers_tren": _RAIL, "retea_scolara": _SCHOOL}))
+
+
 @query()
 def sandbox_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every output run after its own context script; counts of the errors' first words."""
