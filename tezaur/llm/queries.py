@@ -17,7 +17,7 @@ from .personal_items import sanitised
 from .source_mix import mixture, report
 from .split_overlap import counts_found, pairs_found
 from .tokenizer import encode_corpus
-from .wrong_decoding import wrongly_decoded
+from .wrong_decoding import garbled_fields, wrongly_decoded
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -54,22 +54,19 @@ def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout_copies(table(spark, sf_dir, "generated_example"), "id", "question_en", "sql")[1]
 
 
-def _garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "queries_alpaca_ro")
-    corpus = rows.select(F.explode(F.array("instruction", "input", "output")).alias("text"))
-    return wrongly_decoded(rows, "id", ["instruction", "input"], corpus)
+_GARBLED = (["instruction", "input"], ["instruction", "input", "output"])
 
 
 @query
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fields a part or all of which was decoded wrongly."""
-    return _garbled(spark, sf_dir).select("field_name", "id")
+    return garbled_fields(table(spark, sf_dir, "queries_alpaca_ro"), "id", *_GARBLED).select("field_name", "id")
 
 
 @query
 def p6_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same fields with the original text where it can be recovered."""
-    return _garbled(spark, sf_dir).select("field_name", "id", "restored")
+    return wrongly_decoded(table(spark, sf_dir, "queries_alpaca_ro"), "id", *_GARBLED).select("field_name", "id", "restored")
 
 
 def _ends(spark: SparkSession, sf_dir: str) -> DataFrame:
