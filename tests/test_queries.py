@@ -52,7 +52,7 @@ def test_records_equal_a_greedy_loop(spark, duck, sf_dir):
             statements.add(a)
             questions.add(b)
     total = duck.execute("SELECT count(*) FROM generated_example").fetchone()[0]
-    got = sorted(r.id for r in core.QUERIES["dedup_records"](spark, sf_dir).collect())
+    got = sorted(r.id for r in core.QUERIES["dedup_two_keys"](spark, sf_dir).collect())
     assert got == want and total / 2 < len(got) < total
 
 

@@ -30,35 +30,41 @@ def test_extract(spark):
 
 
 def test_input_parts(spark):
-    text = "Schema / context SQL:\nCREATE TABLE t (a INT);\n\nQ:\nce e?\nx"
-    got = column(spark, [text, "fără", None, "Schema / context SQL:\nx\n\ny"], T.input_parts)
-    assert tuple(got[0]) == ("CREATE TABLE t (a INT);", "Q:", "ce e?\nx") and got[1:] == [None, None, None]
+    text = "Schema / context SQL:\nCREATE TABLE t (a INT); \n\nQ: \nce e?\nx "
+    got = column(spark, [text, "fără", None, "Schema / context SQL:\nx\n\ny", "Schema / context SQL:\nx\ny"], T.input_parts)
+    assert tuple(got[0]) == ("CREATE TABLE t (a INT); ", "Q:", "ce e?\nx") and tuple(got[3]) == ("x", "y", "")
+    assert got[1] is got[2] is got[4] is None
 
 
 def plain_repair(text):
+    """From the description alone: every reading is repaired first and rated then; a better rating must be strictly better."""
+
     def quality(t):
         return 3 * sum(map(t.count, T.DIACRITICS)) - 4 * sum(map(t.count, T.SUSPICIOUS)) - 8 * t.count("\ufffd")
 
+    def fixed(t):
+        for a, b in T.REPAIRS:
+            t = t.replace(a, b)
+        return t
+
     if not any(t in text for t in T.SUSPICIOUS):
         return text
-    best = text
+    readings = [text]
     for codec in ("latin-1", "cp1252"):
         try:
-            other = text.encode(codec).decode("utf-8")
+            readings.append(text.encode(codec).decode("utf-8"))
         except UnicodeError:
-            continue
-        best = other if quality(other) > quality(best) else best
-    fixed = best
-    for a, b in T.REPAIRS:
-        fixed = fixed.replace(a, b)
-    return fixed if quality(fixed) >= quality(best) else best
+            pass
+    best = max([text, *map(fixed, readings)], key=quality)  # max takes the first of equals
+    return fixed(best) if quality(fixed(best)) >= quality(best) else best
 
 
 @settings(max_examples=2, phases=[Phase.generate], deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.text(st.sampled_from(list("ăâîșțÎ a\u00c3\u0192\u0099\u2122\u00aex")), max_size=9), min_size=30, max_size=60))
 def test_repair(spark, texts):
-    texts = texts + [t.encode().decode("latin-1") for t in texts] + ["È™coală Ã®n", "Bună", "Ã\x83"]
+    texts = texts + [t.encode().decode("latin-1") for t in texts] + ["È™coală Ã®n", "Bună", "Ã\x83", "Ã®n gara â€“ nord", "stop â€¦ Ã®n"]
     got = column(spark, texts, T.repaired)
+    assert [r.text for r in got][-2:] == ["în gara - nord", "stop ... în"]
     assert [r.text for r in got] == [plain_repair(t) for t in texts] and all(r.changed == (r.text != t) for r, t in zip(got, texts))
 
 

@@ -72,19 +72,19 @@ def extract_statement(c: Column) -> Column:
 
 
 def input_parts(c: Column) -> Column:
-    """struct(context, label, question) of an input: between the schema marker and the first blank line; the next line; the rest.
-    Null where a piece is missing."""
+    """struct(context, label, question) of an input: what lies between the schema marker and the first blank line, as it is; the next line;
+    the rest (empty where that line is the last).  Null without marker or blank line."""
     at = F.instr(c, SCHEMA_MARKER)
     rest = F.when(at > 0, F.substring(c, at + len(SCHEMA_MARKER), F.lit(1 << 30)))
     gap = F.instr(rest, "\n\n")
     tail = F.when(gap > 0, F.substring(rest, gap + 2, F.lit(1 << 30)))
     line = F.instr(tail, "\n")
     whole = F.struct(
-        strip(F.substring(rest, F.lit(1), gap - 1)).alias("context"),
-        strip(F.substring(tail, F.lit(1), line - 1)).alias("label"),
-        strip(F.substring(tail, line + 1, F.lit(1 << 30))).alias("question"),
+        F.substring(rest, F.lit(1), gap - 1).alias("context"),
+        strip(F.when(line > 0, F.substring(tail, F.lit(1), line - 1)).otherwise(tail)).alias("label"),
+        F.when(line > 0, strip(F.substring(tail, line + 1, F.lit(1 << 30)))).otherwise("").alias("question"),
     )
-    return F.when(line > 0, whole)
+    return F.when(gap > 0, whole)
 
 
 def rebuilt_input(context: Column, question: Column) -> Column:
@@ -134,15 +134,18 @@ def bound(c: Column, f) -> Column:
 
 
 def best_reading(c: Column) -> Column:
-    """Of the text and its two other readings the one of highest quality; the earlier wins ties."""
+    """Of the text as it is, and of the text and its two other readings after the replacements, the one of highest quality; the earlier
+    wins ties."""
     found = F.array(*[F.struct(x.alias("text")) for x in (c, reread(c, "latin-1"), reread(c, "cp1252"))])
-    rated = F.transform(F.filter(found, lambda x: x["text"].isNotNull()), lambda x: F.struct(x["text"].alias("text"), quality(x["text"]).alias("q")))
-    zero = F.struct(c.alias("text"), F.lit(-(1 << 31)).alias("q"))
+    fixed = F.transform(F.filter(found, lambda x: x["text"].isNotNull()), lambda x: F.struct(replaced(x["text"]).alias("text")))
+    rated = F.transform(fixed, lambda x: F.struct(x["text"].alias("text"), quality(x["text"]).alias("q")))
+    zero = F.struct(c.alias("text"), quality(c).alias("q"))
     return F.aggregate(rated, zero, lambda a, x: F.when(x["q"] > a["q"], x).otherwise(a), lambda a: a["text"])
 
 
 def repaired(c: Column) -> Column:
-    """struct(text, changed): mojibake repaired where the text has suspicious sequences."""
+    """struct(text, changed): mojibake repaired where the text has suspicious sequences; a further pass of replacements on the best reading
+    is kept where it is no worse."""
 
     def choose(best: Column) -> Column:
         pair = F.struct(best.alias("best"), replaced(best).alias("fixed"))
@@ -164,6 +167,16 @@ def literal(c: Column, fold_quotes: bool = False) -> Column:
     return F.coalesce(F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("''")), F.lit("'")), F.lit("NULL"))
 
 
+def quoted_name(c: Column) -> Column:
+    """A name as an SQL identifier."""
+    return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
+def printable(c: Column, plain: bool = True) -> Column:
+    """A text for consoles without Unicode: every character beyond ASCII becomes a question mark."""
+    return F.regexp_replace(c, r"[^\x00-\x7F]", "?") if plain else c
+
+
 def whole_number(c: Column) -> Column:
     """SQL number of a text that is one; NULL otherwise."""
     return F.coalesce(strip(c).try_cast("long").cast("string"), F.lit("NULL"))

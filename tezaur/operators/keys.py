@@ -8,36 +8,65 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 
+def hashed(key: Column) -> Column:
+    """A 128-bit key for grouping by a text; null is a key of its own."""
+    return F.unhex(F.md5(F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit("0"))))
+
+
 def first_by_key(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """The first row of each key (null is a key of its own).  The minimum is taken before the shuffle, so hot keys do not pile up."""
+    """The first row of each key (null is a key of its own).  The minimum is taken before the shuffle, so hot keys do not pile up; the key
+    is shuffled as a hash."""
     cols = df.columns
     row = F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]), order).alias("__row")
-    return df.withColumn("__key", key).groupBy("__key").agg(row).select("__row.*")
+    return df.withColumn("__key", hashed(key)).groupBy("__key").agg(row).select("__row.*")
+
+
+def _without(rows: DataFrame, key: str, dead: DataFrame, heavy: int) -> DataFrame:
+    """Rows whose key is not dead(k, n).  Keys of more than ``heavy`` rows (at most rows / heavy) go by broadcast, so none fills a task."""
+    hot, rest = (dead.where(c).select(F.col("k").alias(key)) for c in (F.col("n") > heavy, F.col("n") <= heavy))
+    return rows.join(F.broadcast(hot), key, "left_anti").join(rest, key, "left_anti")
+
+
+def _greedy(batches):
+    """The accepted ``o`` of rows (o, a, b) in order."""
+    import pandas as pd
+
+    seen_a, seen_b = set(), set()
+    for pdf in batches:
+        out = []
+        for o, a, b in zip(pdf["o"], pdf["a"], pdf["b"]):
+            if a not in seen_a and b not in seen_b:
+                seen_a.add(a)
+                seen_b.add(b)
+                out.append(o)
+        yield pd.DataFrame({"o": out})
 
 
-def two_key_dedup(df: DataFrame, order: str, key_a: Column, key_b: Column) -> DataFrame:
+def two_key_dedup(df: DataFrame, order: str, key_a: Column, key_b: Column, finish_at: int = 200_000, heavy: int = 100_000) -> DataFrame:
     """Rows in ``order`` are accepted unless an accepted row has the same first or the same second key; rejected rows block nothing.
 
     Rounds of peeling: a row that comes first in both its groups among the rows left is accepted, and the rows that share a key with it
-    leave.  Null keys count as values.  ``order`` must be unique.  Each round is written to the shared folder.
+    leave (the first round settles every row with unique keys).  Once at most ``finish_at`` rows are left, one task goes through their
+    hashes in order, so long chains of rows that hang on each other end there.  Null keys count as values.  ``order`` must be unique.
     """
-    slim = df.select(F.col(order).alias("o"), F.md5(F.coalesce(F.concat(F.lit("="), key_a), F.lit("0"))).alias("a"), F.md5(F.coalesce(F.concat(F.lit("="), key_b), F.lit("0"))).alias("b"))
-    left, accepted = cut(slim), []
-    while True:
-        first_a = left.groupBy("a").agg(F.min("o").alias("fa"))
-        first_b = left.groupBy("b").agg(F.min("o").alias("fb"))
-        marked = left.join(first_a, "a").join(first_b, "b")
-        got = cut(marked.where((F.col("o") == F.col("fa")) & (F.col("o") == F.col("fb"))).select("o", "a", "b"))
-        if got.isEmpty():
-            break
-        accepted.append(got.select("o"))
-        left = cut(left.join(got.select("a"), "a", "left_anti").join(got.select("b"), "b", "left_anti"))
-    if not accepted:
+    left = cut(df.select(F.col(order).alias("o"), hashed(key_a).alias("a"), hashed(key_b).alias("b")))
+    kind, keep = left.schema["o"].dataType.simpleString(), None
+    add = lambda keep, x: x if keep is None else keep.unionByName(x)
+    while (n := left.count()) > finish_at:
+        # The first row of each key of either side, in one shuffle of partial minima.
+        sides = left.select("o", "a", "b", F.explode(F.array(F.struct(F.lit("a").alias("s"), F.col("a").alias("k")), F.struct(F.lit("b").alias("s"), F.col("b").alias("k")))).alias("x"))
+        firsts = cut(sides.groupBy("x.s", "x.k").agg(F.min(F.struct("o", "a", "b")).alias("m"), F.count("*").alias("n")))
+        won = firsts.groupBy("m.o").agg(F.count("*").alias("c")).where("c = 2").select("o")
+        dead = cut(firsts.select("s", "k", "n", F.col("m.o").alias("o")).join(won, "o"))
+        keep = add(keep, dead.where("s = 'a'").select("o"))
+        for side in "ab":
+            left = _without(left, side, dead.where(F.col("s") == side).select("k", "n"), heavy)
+        left = cut(left)
+    if n:
+        keep = add(keep, cut(left.coalesce(1).sortWithinPartitions("o").mapInPandas(_greedy, f"o {kind}")))
+    if keep is None:
         return df.limit(0)
-    keep = accepted[0]
-    for x in accepted[1:]:
-        keep = keep.unionByName(x)
-    return df.join(keep.withColumnRenamed("o", order), order, "left_semi").select(*df.columns)
+    return df.join(keep.withColumnRenamed("o", order), order, "left_semi")
 
 
 def dense_ids(df: DataFrame, value: Column, name: str, id_name: str) -> DataFrame:

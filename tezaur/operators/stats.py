@@ -50,3 +50,11 @@ def ordered_tokens(df: DataFrame, c: str, order: list[str], n: int = 20, sep: st
 def joined_distinct(c: Column, sep: str = ", ") -> Column:
     """Aggregate: distinct values in order, joined; null for none."""
     return F.nullif(F.array_join(F.array_sort(F.collect_set(c)), sep), F.lit(""))
+
+
+def record(summary: DataFrame, numbers: DataFrame) -> dict:
+    """The statistics record of summary_counts() and number_summary(): values in order within each facet."""
+    out: dict = {}
+    for r in summary.orderBy("facet", "value").collect():
+        out.setdefault(r.facet, {})[r.value] = r.n
+    return {"total": sum(out.get("domain", {}).values()), **{f"by_{k}": v for k, v in out.items()}, "row_count": numbers.first().asDict()}

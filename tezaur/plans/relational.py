@@ -18,6 +18,22 @@ COUNTIES = {
     "SJ": "Sălaj", "SB": "Sibiu", "SV": "Suceava", "TR": "Teleorman", "TM": "Timiș", "TL": "Tulcea", "VS": "Vaslui", "VL": "Vâlcea", "VN": "Vrancea",
 }
 
+# Counties by parts of station names (upper case), in the order they are tried.
+COUNTY_RULES = [
+    ("Timiș", ["TIMIŞOARA", "RONAT", "SÂNANDREI", "CALACEA", "ORŢIŞOARA"]),
+    ("Arad", ["ARAD", "VINGA", "ŞAG", "Valea Viilor", "GLOGOVĂŢ", "GHIOROC", "PAULIS", "RADNA", "MILOVA", "BÂRZAVA", "BATA", "VĂRĂDIA", "SĂVĂRŞIN"]),
+    ("Hunedoara", ["ILTEU", "ZAM", "SURDUC", "ILIA", "MINTIA", "DEVA", "SIMERIA", "ORĂŞTIE", "AUREL VLAICU", "ŞIBOT"]),
+    ("Alba", ["BLANDIANA", "VINŢU", "ALBA IULIA", "BĂRĂBANŢ", "SÂNTIMBRU", "COŞLARIU", "TEIUŞ", "AIUD", "UNIREA", "RĂZBOIENI"]),
+    ("Cluj", ["CLUJ", "BACIU", "APAHIDA", "JUCU", "DEZMIR", "COJOCNA", "BONŢIDA", "GHERLA", "DEJ", "ICLOD", "RĂSCRUCI", "AGHIREŞ", "GÂRBĂU", "MERA", "NĂDĂŞEL", "BOJU", "CÂMPIA TURZII", "TURDA", "HUEDIN", "GĂLĂŞENI"]),
+    ("Sălaj", ["JIBOU", "VAR H.", "SURDUC SĂLAJ", "CIOCMANI", "BĂBUŢENI", "CUCIULAT", "LETCA", "JEBUC", "STANA"]),
+    ("Bistrița-Năsăud", ["BISTRIŢA", "BECLEAN", "SĂRĂŢEL", "RETEAG", "CICEU", "COLDĂU", "ŞINTEREAG", "MĂGHERUŞ", "BÂRGĂU", "PRUNDU"]),
+    ("Prahova", ["PLOIEŞTI", "BRAZI", "MIZIL", "INOTEŞTI", "CRICOV", "VALEA CĂLUGĂREASCĂ", "CRIVINA", "SCROVIŞTEA", "BUDA", "FLOREŞTI", "CÂMPINA", "COMARNIC", "SINAIA", "BUŞTENI", "AZUGA"]),
+    ("Brașov", ["BRAŞOV", "PREDEAL", "TIMIŞU DE SUS", "DÂRSTE"]),
+    ("Vrancea", ["FOCŞANI", "MĂRĂŞEŞTI", "ADJUD", "GUGEŞTI", "COTEŞTI", "SIHLEA", "PUFEŞTI", "PUTNA SEACĂ", "PĂDURENI"]),
+    ("Buzău", ["BUZĂU", "RÂMNICU SĂRAT", "ULMENI", "BOBOC", "ZOITA", "SAHATENI"]),
+    ("Bihor", ["ORADEA", "ALEŞD", "BRATCA", "TILEAGD", "VADU CRIŞULUI"]),
+]
+
 
 def _text(c: str):
     return T.strip(F.coalesce(F.col(f"`{c}`"), F.lit("")))
@@ -57,14 +73,28 @@ def school_tables(network: DataFrame, enrolment: DataFrame, order: str) -> dict[
     return {"counties": counties, "localities": localities.drop("place_key"), "schools": schools}
 
 
-def rail_tables(trains: DataFrame, stops: DataFrame, county_rules: list[tuple[str, list[str]]], other: str = "Alte Județe") -> dict[str, DataFrame]:
+def rail_frames(xml: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Train elements of a timetable XML -> (trains, stops) as rail_tables() takes them; a train without a calendar of its own runs daily."""
+    rows = xml.withColumn("train_order", F.monotonically_increasing_id())
+    mask = F.coalesce(F.col("RestrictiiTren.CalendarTren._Zile"), F.col("CalendarTren._Zile"), F.lit("16767"))
+    trains = rows.select("train_order", F.col("_Numar").alias("number"), F.col("_Operator").alias("operator"), F.col("_CategorieTren").alias("category"), mask.alias("mask"))
+    at = rows.select("train_order", F.posexplode("Trase.Trasa.ElementTrasa").alias("place", "x"))
+    stops = at.select(
+        "train_order", "place", F.col("x._CodStaDest").alias("code"), F.col("x._DenStaDestinatie").alias("station"), F.col("x._OraS").alias("seconds_in"), F.col("x._OraP").alias("seconds_out"),
+        F.col("x._Rci").alias("kind"), F.col("x.CalendarTren._Zile").alias("mask"),
+    )
+    return trains, stops
+
+
+def rail_tables(trains: DataFrame, stops: DataFrame, county_rules: list[tuple[str, list[str]]] = COUNTY_RULES, other: str = "Alte Județe") -> dict[str, DataFrame]:
     """stations, trains and timetables of trains(train_order, number, operator, category, mask) and stops(train_order, place, code, station,
-    seconds_in, seconds_out, kind, mask): trains without a number are left out; a stop's own mask goes before its train's."""
-    known = numbered(trains.where(_text("number") != ""), ["train_order"], "train_id")
-    at = stops.where((_text("code") != "") & (_text("station") != "")).join(known.select("train_order", "train_id", F.col("mask").alias("train_mask")), "train_order")
+    seconds_in, seconds_out, kind, mask): trains without a number and stops without a station's name are left out; a stop's own mask goes
+    before its train's."""
+    known = numbered(trains.where(F.coalesce("number", F.lit("")) != ""), ["train_order"], "train_id")
+    at = stops.where(_text("station") != "").withColumn("code", F.coalesce("code", F.lit(""))).join(known.select("train_order", "train_id", F.col("mask").alias("train_mask")), "train_order")
     at = at.withColumn("spot", F.struct("train_order", "place")).withColumn("station_key", F.upper(_text("station")))
     stations = first_seen_ids(at, [F.col("code"), F.col("station_key")], "spot", ["code", "station"], "station_id")
-    stations = stations.select("station_id", F.col("code").try_cast("int").alias("station_number"), _text("station").alias("station_name"), T.first_match(F.col("station"), county_rules, other).alias("county"), F.col("__k0").alias("code"), F.col("__k1").alias("station_key"))
+    stations = stations.select("station_id", F.col("code").try_cast("int").alias("station_number"), _text("station").alias("station_name"), T.first_match(_text("station"), county_rules, other).alias("county"), F.col("__k0").alias("code"), F.col("__k1").alias("station_key"))
     timed = at.join(stations.select("station_id", "code", "station_key"), ["code", "station_key"])
     rows = numbered(timed, ["train_order", "place"], "timetable_id").select(
         "timetable_id", "train_id", "station_id", clock(F.col("seconds_in")).alias("arrival_time"), clock(F.col("seconds_out")).alias("departure_time"), F.col("kind").alias("service_category"), weekdays(F.coalesce("mask", "train_mask")).alias("day_type")

@@ -12,9 +12,10 @@ from .functions.temporal import clock, weekdays
 from .operators import keys, sampling, stats
 from .operators.sandbox import valid_in_context
 from .operators.waterfall import classified, counters, keep_rate
-from .plans import cleaning, evaluation, exports, introspect, prompts
+from .plans import cleaning, evaluation, exports, files, introspect, prompts, relational
 from .plans.split import evaluation_split, file_counts
-from .session import table
+from .session import cut, table
+from .sources.config import catalog
 from .sources.dumps import insert_statements
 from .streaming.state import first_seen, is_late, window_counts
 
@@ -48,11 +49,19 @@ def _sql_normal(x: str) -> str:
 d AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id) AS r FROM n)
 SELECT lang, CASE WHEN k = '' THEN 'empty' WHEN r > 1 THEN 'copy' ELSE 'kept' END AS status, CAST(count(*) AS BIGINT) AS n FROM d GROUP BY ALL""")
 def norm_dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalise, keep the first of equal texts, count by language and status."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.coalesce(T.normal(F.col("text")), F.lit("")).alias("k"))
-    first = d.where("k <> ''").groupBy("k").agg(F.min("doc_id").alias("first"))
-    status = F.when(F.col("k") == "", "empty").when(F.col("doc_id") > F.col("first"), "copy").otherwise("kept")
-    return d.join(first, "k", "left").groupBy("lang", status.alias("status")).agg(F.count("*").alias("n"))
+    """Normalise, keep the first of equal texts, count by language and status.  Texts are grouped by a hash, summed before they
+    are shuffled; no text and no hot group travels whole."""
+    k = T.normal(F.col("text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.when(F.coalesce(k, F.lit("")) != "", keys.hashed(k)).alias("h"))
+    empty = d.where("h is null").groupBy("lang").agg(F.count("*").alias("empty"))
+    per = d.where("h is not null").groupBy("h", "lang").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+    # Of each text: the language of its first row, and the rows of each language.
+    told = per.groupBy("h").agg(F.min(F.struct("first", "lang"))["lang"].alias("owner"), F.collect_list(F.struct("lang", "n")).alias("by"))
+    rows = told.select("owner", F.explode("by").alias("x")).select(F.col("x.lang").alias("lang"), F.col("x.n").alias("n"), F.col("owner").eqNullSafe(F.col("x.lang")).cast("long").alias("kept"))
+    zero = F.lit(0).cast("long")
+    sums = rows.groupBy("lang").agg(F.sum("kept").alias("kept"), F.sum(F.col("n") - F.col("kept")).alias("copy")).select("lang", "kept", "copy", zero.alias("empty"))
+    both = sums.unionByName(empty.select("lang", zero.alias("kept"), zero.alias("copy"), "empty")).groupBy("lang").agg(F.sum("kept").alias("kept"), F.sum("copy").alias("copy"), F.sum("empty").alias("empty"))
+    return both.unpivot(["lang"], ["kept", "copy", "empty"], "status", "n").where("n > 0")
 
 
 @query(f"""SELECT domain, CAST(count(*) AS BIGINT) AS records, CAST(count(DISTINCT {_sql_normal('question_en')}) AS BIGINT) AS questions, CAST(count(DISTINCT {_sql_normal('sql')}) AS BIGINT) AS statements
@@ -60,7 +69,7 @@ FROM generated_example GROUP BY domain""")
 def normal_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct normalised questions and statements."""
     g = table(spark, sf_dir, "generated_example")
-    return g.groupBy("domain").agg(F.count("*").alias("records"), F.countDistinct(T.normal(F.col("question_en"))).alias("questions"), F.countDistinct(T.normal(F.col("sql"))).alias("statements"))
+    return g.groupBy("domain").agg(F.count("*").alias("records"), F.countDistinct(F.md5(T.normal(F.col("question_en")))).alias("questions"), F.countDistinct(F.md5(T.normal(F.col("sql")))).alias("statements"))
 
 
 @query("""SELECT CASE lower(trim(coalesce(task, ''))) WHEN 'operator' THEN 'operator' WHEN 'operators' THEN 'operator' WHEN 'operation' THEN 'operator' WHEN 'operations' THEN 'operator' ELSE 'user' END AS task, CAST(count(*) AS BIGINT) AS n
@@ -105,9 +114,10 @@ def extract_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PARTS = f"""
 WITH a AS (SELECT id, CASE WHEN strpos(input, 'Schema / context SQL:' || chr(10)) > 0 THEN substring(input, strpos(input, 'Schema / context SQL:' || chr(10)) + 22) END AS r FROM queries_alpaca_ro),
-b AS (SELECT id, r, strpos(r, chr(10) || chr(10)) AS g FROM a), c AS (SELECT id, r, g, CASE WHEN g > 0 THEN substring(r, g + 2) END AS t FROM b),
-d AS (SELECT id, {_sql_strip('substring(r, 1, g - 1)')} AS context, {_sql_strip('substring(t, 1, strpos(t, chr(10)) - 1)')} AS label, {_sql_strip('substring(t, strpos(t, chr(10)) + 1)')} AS question, strpos(t, chr(10)) AS l FROM c)
-SELECT id, md5(context) AS context, label, md5('Schema / context SQL:' || chr(10) || context || chr(10) || chr(10) || 'Întrebare:' || chr(10) || question) AS rebuilt FROM d WHERE l > 0"""
+b AS (SELECT id, r, strpos(r, chr(10) || chr(10)) AS g FROM a), c AS (SELECT id, r, g, substring(r, g + 2) AS t FROM b WHERE g > 0),
+d AS (SELECT id, substring(r, 1, g - 1) AS context, strpos(t, chr(10)) AS l, t FROM c),
+e AS (SELECT id, context, CASE WHEN l > 0 THEN {_sql_strip('substring(t, 1, l - 1)')} ELSE {_sql_strip('t')} END AS label, CASE WHEN l > 0 THEN {_sql_strip('substring(t, l + 1)')} ELSE '' END AS question FROM d)
+SELECT id, md5(context) AS context, label, md5('Schema / context SQL:' || chr(10) || context || chr(10) || chr(10) || 'Întrebare:' || chr(10) || question) AS rebuilt FROM e"""
 
 
 @query(_PARTS)
@@ -129,9 +139,40 @@ def text_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "queries_alpaca_ro").select("id", T.is_suspicious(i).alias("suspicious"), T.quality(i).cast("long").alias("quality"))
 
 
-@query()
+def _sql_quality(x: str) -> str:
+    n = lambda t: f"(length({x}) - length(replace({x}, '{t}', ''))) // {len(t)}"
+    return f"(3 * (length({x}) - length(regexp_replace({x}, '[{T.DIACRITICS}]', '', 'g'))) - 4 * ({' + '.join(map(n, T.SUSPICIOUS))}) - 8 * {n(chr(0xFFFD))})"
+
+
+def _sql_replaced(x: str) -> str:
+    for a, b in T.REPAIRS:
+        x = f"replace({x}, '{a}', '{b}')"
+    return x
+
+
+def _sql_reread(x: str, codec: str) -> str:
+    """The bytes of a text in Latin-1 or cp1252, read as UTF-8, null where that fails."""
+    ok = f"regexp_full_match({x}, '(?s)[\\x{{00}}-\\x{{FF}}]*')"
+    if codec == "cp1252":
+        ok, x = f"NOT regexp_matches({x}, '[\\x{{80}}-\\x{{9F}}]')", f"translate({x}, '{T._CP1252}', '{T._C1}')"
+        ok = f"({ok} AND regexp_full_match({x}, '(?s)[\\x{{00}}-\\x{{FF}}]*'))"
+    return f"CASE WHEN {ok} THEN TRY(decode(unhex(array_to_string(list_transform(regexp_extract_all({x}, '(?s).'), lambda c: printf('%02x', unicode(c))), '')))) END"
+
+
+def _sql_repaired(source: str, name: str) -> str:
+    """Tables named after ``name`` from source(id, t); the last, {name}, has (id, t, fixed)."""
+    return f"""{name}_a AS (SELECT id, t, {' OR '.join(f"contains(t, '{x}')" for x in T.SUSPICIOUS)} AS s FROM ({source})),
+{name}_b AS (SELECT id, t, {_sql_reread('t', 'latin-1')} AS l, {_sql_reread('t', 'cp1252')} AS w FROM {name}_a WHERE s),
+{name}_c AS (SELECT id, t, {_sql_replaced('t')} AS r0, {_sql_replaced('l')} AS r1, {_sql_replaced('w')} AS r2 FROM {name}_b),
+{name}_d AS (SELECT *, {_sql_quality('t')} AS q, {_sql_quality('r0')} AS q0, coalesce({_sql_quality('r1')}, -1000000000) AS q1, coalesce({_sql_quality('r2')}, -1000000000) AS q2 FROM {name}_c),
+{name}_e AS (SELECT id, t, CASE WHEN q >= greatest(q0, q1, q2) THEN t WHEN q0 >= greatest(q1, q2) THEN r0 WHEN q1 >= q2 THEN r1 ELSE r2 END AS best FROM {name}_d),
+{name}_f AS (SELECT id, t, best, {_sql_replaced('best')} AS more FROM {name}_e),
+{name} AS (SELECT id, t, CASE WHEN {_sql_quality('more')} >= {_sql_quality('best')} THEN more ELSE best END AS fixed FROM {name}_f UNION ALL SELECT id, t, t FROM {name}_a WHERE s IS NOT TRUE)"""
+
+
+@query(f"WITH {_sql_repaired('SELECT id, instruction AS t FROM queries_alpaca_ro', 'm')} SELECT id, fixed AS text, fixed <> t AS changed FROM m")
 def mojibake_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Instructions after repair by re-reading and replacement (held against a plain version in the tests)."""
+    """Instructions after repair by re-reading and replacement."""
     q = table(spark, sf_dir, "queries_alpaca_ro").select("id", T.repaired(F.col("instruction")).alias("r"))
     return q.select("id", "r.text", "r.changed")
 
@@ -164,13 +205,22 @@ def first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "stations").select("station_id", T.first_match(F.col("station_name"), _AREAS, "Alte").alias("area"))
 
 
-@query("""SELECT s.station_id, coalesce(c.county_code, s.county) AS code, lpad(CAST(s.station_number AS VARCHAR), CAST(greatest(10, length(CAST(s.station_number AS VARCHAR))) AS INTEGER), '0') AS padded
-FROM stations s LEFT JOIN counties c ON c.county_name = s.county""")
+_COUNTIES = ", ".join(f"('{k}', '{v}')" for k, v in relational.COUNTIES.items())
+
+
+@query(f"""WITH c AS (SELECT DISTINCT code FROM (SELECT trim(county_code) AS code FROM counties UNION ALL SELECT trim(coalesce(county, '')) FROM stations) WHERE code <> '')
+SELECT CAST(row_number() OVER (ORDER BY c.code) AS BIGINT) AS county_id, c.code AS county_code, coalesce(n.name, c.code) AS county_name FROM c LEFT JOIN (VALUES {_COUNTIES}) n(code, name) ON n.code = c.code""")
 def county_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """County codes by name with the name as default; padded numbers."""
-    s, c = table(spark, sf_dir, "stations"), table(spark, sf_dir, "counties")
-    j = s.join(F.broadcast(c), s.county == c.county_name, "left")
-    return j.select("station_id", F.coalesce("county_code", "county").alias("code"), T.padded(F.col("station_number").cast("string")).alias("padded"))
+    """County codes in order, named by the fixed list, a code without a name by itself."""
+    codes = table(spark, sf_dir, "counties").select("county_code").union(table(spark, sf_dir, "stations").select("county"))
+    return relational.county_table(codes.select(F.col("county_code").alias("Judet PJ"))).select(F.col("county_id").cast("long").alias("county_id"), "county_code", "county_name")
+
+
+@query("""SELECT station_id, '"' || replace(station_name, '"', '""') || '"' AS quoted, lpad(CAST(station_number AS VARCHAR), CAST(greatest(10, length(CAST(station_number AS VARCHAR))) AS INTEGER), '0') AS padded, regexp_replace(station_name, '[^\\x00-\\x7F]', '?', 'g') AS printable FROM stations""")
+def identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names as identifiers, padded numbers, console text."""
+    s = table(spark, sf_dir, "stations")
+    return s.select("station_id", T.quoted_name(F.col("station_name")).alias("quoted"), T.padded(F.col("station_number").cast("string")).alias("padded"), T.printable(F.col("station_name")).alias("printable"))
 
 
 @query("""WITH v AS (SELECT DISTINCT day_type FROM timetables WHERE day_type IS NOT NULL), r AS (SELECT day_type, row_number() OVER (ORDER BY day_type) AS r FROM v),
@@ -211,17 +261,19 @@ def number_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.col("least").cast("long"), F.col("most").cast("long"), F.round("mean", 6).alias("mean"))
 
 
-_WATERFALL = f"""WITH a AS (SELECT *, {_RAW} AS o, strpos(coalesce(input, ''), 'Schema / context SQL:' || chr(10)) AS m FROM queries_alpaca_ro),
+_OUT = _sql_strip("coalesce(output, 'None')")
+_WATERFALL = f"""WITH a AS (SELECT *, {_OUT} AS o, strpos(coalesce(input, ''), 'Schema / context SQL:' || chr(10)) AS m FROM queries_alpaca_ro),
 b AS (SELECT *, CASE WHEN m > 0 THEN substring(input, m + 22) END AS r FROM a), c AS (SELECT *, CASE WHEN strpos(r, chr(10) || chr(10)) > 0 THEN substring(r, strpos(r, chr(10) || chr(10)) + 2) END AS t FROM b),
-d AS (SELECT *, CASE WHEN o = '' THEN 'empty_output_sql' WHEN upper(regexp_extract(o, '^[\\p{{L}}_]+')) NOT IN ('SELECT', 'WITH') THEN 'sql_keyword_not_allowed'
- WHEN t IS NULL OR strpos(t, chr(10)) = 0 THEN 'input_parse_failed' END AS reason FROM c)"""
+w AS (SELECT *, regexp_extract(o, '^[\\p{{L}}_]+') AS word FROM c),
+d AS (SELECT *, CASE WHEN o = '' THEN 'empty_output_sql' WHEN upper(word) NOT IN ('SELECT', 'WITH') THEN 'sql_keyword_not_allowed:' || CASE WHEN word = '' THEN 'UNKNOWN' ELSE upper(word) END
+ WHEN t IS NULL THEN 'input_parse_failed' END AS reason FROM w)"""
 
 
 def _dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified(table(spark, sf_dir, "queries_alpaca_ro"), cleaning.record_checks("queries", strict_type=True))
 
 
-@query(_WATERFALL + """ SELECT counter, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(['total', CASE WHEN reason IS NULL THEN 'kept' ELSE 'dropped' END, 'drop_' || reason]) AS counter FROM d) WHERE counter IS NOT NULL GROUP BY counter""")
+@query(_WATERFALL + """ SELECT counter, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(['total', CASE WHEN reason IS NULL THEN 'kept' ELSE 'dropped' END, 'drop_' || split_part(reason, ':', 1)]) AS counter FROM d) WHERE counter IS NOT NULL GROUP BY counter""")
 def clean_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counters of the cleaning waterfall."""
     return counters(_dropped(spark, sf_dir))
@@ -233,11 +285,20 @@ def clean_keep_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_rate(_dropped(spark, sf_dir))
 
 
-@query()
+_QUESTION = f"CASE WHEN strpos(t, chr(10)) > 0 THEN {_sql_strip('substring(t, strpos(t, chr(10)) + 1)')} ELSE '' END"
+
+
+@query(f"""{_WATERFALL}, k AS (SELECT *, substring(r, 1, strpos(r, chr(10) || chr(10)) - 1) AS context, {_QUESTION} AS question FROM d WHERE reason IS NULL),
+{_sql_repaired('SELECT id, instruction AS t FROM k', 'i')}, {_sql_repaired('SELECT id, system_prompt AS t FROM k', 's')}, {_sql_repaired('SELECT id, question AS t FROM k', 'q')}
+SELECT k.id, 'user' AS task, md5(i.fixed) AS instruction, md5('Schema / context SQL:' || chr(10) || k.context || chr(10) || chr(10) || 'Întrebare:' || chr(10) || q.fixed) AS input, md5(s.fixed) AS system, NULL AS drop_reason,
+array_to_string(list_filter([CASE WHEN i.fixed <> i.t THEN 'instruction' END, CASE WHEN s.fixed <> s.t THEN 'system' END, CASE WHEN q.fixed <> q.t THEN 'input.question_ro' END], lambda x: x IS NOT NULL), ',') AS changed
+FROM k JOIN i ON i.id = k.id JOIN s ON s.id = k.id JOIN q ON q.id = k.id
+UNION ALL SELECT id, 'user', md5(instruction), md5(input), md5(system_prompt), reason, '' FROM d WHERE reason IS NOT NULL""")
 def clean_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaned records with repaired texts, changed fields and drop reasons."""
     q = table(spark, sf_dir, "queries_alpaca_ro").withColumnRenamed("system_prompt", "system")
-    return cleaning.cleaned(q, "queries", strict_type=True).select("id", "task", "instruction", "input", "system", "drop_reason", "changed_fields")
+    hashed = [F.md5(c).alias(c) for c in ("instruction", "input", "system")]
+    return cleaning.cleaned(q, "queries", strict_type=True).select("id", "task", *hashed, "drop_reason", F.array_join("changed_fields", ",").alias("changed"))
 
 
 @query(f"SELECT * EXCLUDE (r) FROM (SELECT id, domain, task, row_number() OVER (PARTITION BY {_sql_normal('sql')} ORDER BY id) AS r FROM generated_example) WHERE r = 1")
@@ -247,21 +308,18 @@ def dedup_one_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.first_by_key(g, T.normal(F.col("sql")), "id").select("id", "domain", "task")
 
 
-@query("""WITH r AS (SELECT list({'o': doc_id, 'a': coalesce(left(text, 2), ''), 'b': coalesce(right(text, 3), '')} ORDER BY doc_id) AS l FROM documents),
-f AS (SELECT list_reduce(list_prepend({'o': NULL, 'a': NULL, 'b': NULL, 'ids': []::BIGINT[], 'ka': []::VARCHAR[], 'kb': []::VARCHAR[]}, list_transform(l, lambda x: {'o': x.o, 'a': x.a, 'b': x.b, 'ids': []::BIGINT[], 'ka': []::VARCHAR[], 'kb': []::VARCHAR[]})),
- lambda acc, x: CASE WHEN list_contains(acc.ka, x.a) OR list_contains(acc.kb, x.b) THEN acc ELSE {'o': NULL, 'a': NULL, 'b': NULL, 'ids': list_append(acc.ids, x.o), 'ka': list_append(acc.ka, x.a), 'kb': list_append(acc.kb, x.b)} END) AS s FROM r)
-SELECT unnest(s.ids) AS doc_id FROM f""")
-def dedup_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3: greedy deduplication on either of two keys, here cut so short that SQL can follow; `dedup_records` runs it on the real keys."""
-    d = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.substring("text", 1, 2), F.lit("")).alias("a"), F.coalesce(F.right("text", F.lit(3)), F.lit("")).alias("b"))
-    return keys.two_key_dedup(d, "doc_id", F.col("a"), F.col("b")).select("doc_id")
+_KEY = "md5(coalesce('=' || {0}, '0'))"
 
 
-@query()
-def dedup_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy deduplication of the generated records on normalised statement or normalised question, in order of id."""
-    g = table(spark, sf_dir, "generated_example").select("id", "domain", "task", "sql", "question_en")
-    return keys.two_key_dedup(g, "id", T.normal(F.col("sql")), T.normal(F.col("question_en"))).select("id", "domain", "task")
+@query(f"""WITH g AS (SELECT id, {_KEY.format(_sql_normal('sql'))} AS a, {_KEY.format(_sql_normal('question_en'))} AS b FROM generated_example),
+r AS (SELECT list({{'o': id, 'a': a, 'b': b}} ORDER BY id) AS l FROM g),
+f AS (SELECT list_reduce(list_prepend({{'o': NULL, 'a': NULL, 'b': NULL, 'ids': []::VARCHAR[], 'ka': []::VARCHAR[], 'kb': []::VARCHAR[]}}, list_transform(l, lambda x: {{'o': x.o, 'a': x.a, 'b': x.b, 'ids': []::VARCHAR[], 'ka': []::VARCHAR[], 'kb': []::VARCHAR[]}})),
+ lambda acc, x: CASE WHEN list_contains(acc.ka, x.a) OR list_contains(acc.kb, x.b) THEN acc ELSE {{'o': NULL, 'a': NULL, 'b': NULL, 'ids': list_append(acc.ids, x.o), 'ka': list_append(acc.ka, x.a), 'kb': list_append(acc.kb, x.b)}} END) AS s FROM r)
+SELECT unnest(s.ids) AS id FROM f""")
+def dedup_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy deduplication of the generated records on normalised statement or normalised question, in order of id."""
+    g = table(spark, sf_dir, "generated_example").select("id", "sql", "question_en")
+    return keys.two_key_dedup(g, "id", T.normal(F.col("sql")), T.normal(F.col("question_en"))).select("id")
 
 
 @query("SELECT CAST(row_number() OVER (ORDER BY county) AS BIGINT) AS county_id, county AS county_code FROM (SELECT DISTINCT county FROM stations WHERE county <> '')")
@@ -285,13 +343,58 @@ def numbered_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.numbered(table(spark, sf_dir, "timetables").select("train_id", "timetable_id"), ["train_id", "timetable_id"], "n").select("n", "timetable_id")
 
 
-@query("""WITH a AS (SELECT train_id, coalesce(sum(TRY_CAST(substring(arrival_time, 1, 2) AS INTEGER)), 0) AS hours, nullif(array_to_string(list_sort(list_distinct(list(day_type))), ', '), '') AS days FROM timetables GROUP BY train_id)
-SELECT t.train_id, CASE WHEN t.category = 'R' THEN CAST(a.hours AS BIGINT) END AS hours, CASE WHEN t.category = 'R' THEN a.days END AS days, nullif(trim(t.train_number), '') AS number FROM trains t LEFT JOIN a ON a.train_id = t.train_id""")
+_LEGAL = "CASE WHEN train_id % 3 = 0 THEN 'AR' ELSE 'PJ' END"
+
+
+@query(f"""WITH n AS (SELECT train_id AS o, upper(left(coalesce(operator_name, ''), 1)) AS code, trim(coalesce(category, '')) || ' ' || CAST(train_id % 40 AS VARCHAR) AS place, CASE WHEN train_id % 2 = 0 THEN 'URBAN' ELSE 'RURAL' END AS area,
+ CAST(train_id // 2 AS VARCHAR) AS unit, {_LEGAL} AS legal, 'Școala ' || CAST(train_id AS VARCHAR) AS name, CASE WHEN train_id % 5 > 0 THEN 'Liceul ' || CAST(train_id AS VARCHAR) END AS long_name, trim(coalesce(train_number, '')) AS short FROM trains),
+c AS (SELECT code, row_number() OVER (ORDER BY code) AS county_id FROM (SELECT DISTINCT code FROM n WHERE code <> '')),
+p AS (SELECT n.*, c.county_id FROM n LEFT JOIN c ON c.code = n.code),
+l AS (SELECT upper(place) AS k, county_id, row_number() OVER (ORDER BY min(o)) AS locality_id FROM p WHERE place <> '' AND county_id IS NOT NULL GROUP BY 1, 2),
+e AS (SELECT lpad(CAST(train_id // 2 AS VARCHAR), 10, '0') AS code, coalesce(sum(TRY_CAST(substring(arrival_time, 1, 2) AS INTEGER)), 0) AS students, nullif(array_to_string(list_sort(list_distinct(list(trim(day_type)) FILTER (trim(day_type) <> ''))), ', '), '') AS levels FROM timetables GROUP BY 1),
+u AS (SELECT *, row_number() OVER (PARTITION BY unit ORDER BY o) AS r FROM p)
+SELECT CAST(row_number() OVER (ORDER BY u.o) AS BIGINT) AS school_id, CASE WHEN u.legal = 'PJ' THEN u.name ELSE coalesce(u.long_name, u.name) END AS school_name, nullif(u.short, '') AS short_name, lpad(u.unit, 10, '0') AS siiir_code, CAST(l.locality_id AS BIGINT) AS locality_id, u.legal AS unit_type,
+CASE WHEN u.legal = 'PJ' THEN e.levels END AS education_level, CASE WHEN u.legal = 'PJ' THEN CAST(e.students AS BIGINT) END AS number_of_students
+FROM u LEFT JOIN l ON l.k = upper(u.place) AND l.county_id = u.county_id LEFT JOIN e ON e.code = lpad(u.unit, 10, '0') WHERE u.r = 1""")
 def gated_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sums and lists joined where a condition on the row holds."""
-    tt = table(spark, sf_dir, "timetables").groupBy("train_id").agg(F.coalesce(F.sum(F.substring("arrival_time", 1, 2).try_cast("int")), F.lit(0)).alias("hours"), stats.joined_distinct(F.col("day_type")).alias("days"))
-    own = F.col("category") == "R"
-    return table(spark, sf_dir, "trains").join(tt, "train_id", "left").select("train_id", F.when(own, F.col("hours")).alias("hours"), F.when(own, F.col("days")).alias("days"), F.nullif(T.strip(F.col("train_number")), F.lit("")).alias("number"))
+    """The school plan over a network sheet and an enrolment sheet made of the rail tables."""
+    t, tt = table(spark, sf_dir, "trains"), table(spark, sf_dir, "timetables")
+    number = F.expr("cast(train_id div 2 as string)")
+    network = t.select(
+        F.col("train_id").alias("o"), F.upper(F.substring(F.coalesce("operator_name", F.lit("")), 1, 1)).alias("Judet PJ"), F.concat(F.trim(F.coalesce("category", F.lit(""))), F.lit(" "), F.expr("cast(train_id % 40 as string)")).alias("Localitate unitate"),
+        F.when(F.col("train_id") % 2 == 0, "URBAN").otherwise("RURAL").alias("Mediu loc. unitate"), number.alias("Cod SIIIR unitate"), number.alias("Cod SIIIR PJ"), F.expr(_LEGAL).alias("Statut unitate"),
+        F.concat(F.lit("Școala "), F.col("train_id").cast("string")).alias("Denumire PJ"), F.when(F.col("train_id") % 5 > 0, F.concat(F.lit("Liceul "), F.col("train_id").cast("string"))).alias("Denumire lunga unitate"),
+        F.col("train_number").alias("Denumire scurta unitate"), F.lit("Publică").alias("Forma proprietate"),
+    )
+    enrolment = tt.select(F.expr("cast(train_id div 2 as string)").alias("Cod unitate PJ"), F.substring("arrival_time", 1, 2).alias("Elevi exist anterior-asoc"), F.col("day_type").alias("Nivel"))
+    made = relational.school_tables(network, enrolment, "o")["schools"]
+    big = lambda c: F.col(c).cast("long").alias(c)
+    return made.select(big("school_id"), "school_name", "short_name", "siiir_code", big("locality_id"), "unit_type", "education_level", big("number_of_students"))
+
+
+@query("""WITH k AS (SELECT train_id AS o, row_number() OVER (ORDER BY train_id) AS train_id, (train_id * 37) % 400 AS mask FROM trains WHERE coalesce(train_number, '') <> ''),
+a AS (SELECT k.o, k.train_id, tt.timetable_id AS place, coalesce(CAST(s.station_number AS VARCHAR), '') AS code, upper(trim(s.station_name)) AS name, tt.timetable_id * 61 AS s, CASE WHEN tt.timetable_id % 5 = 0 THEN tt.timetable_id % 400 ELSE k.mask END % 128 AS m
+ FROM timetables tt JOIN stations s ON s.station_id = tt.station_id JOIN k ON k.o = tt.train_id WHERE trim(coalesce(s.station_name, '')) <> ''),
+st AS (SELECT code, name, row_number() OVER (ORDER BY min((o, place))) AS station_id FROM a GROUP BY 1, 2)
+SELECT CAST(row_number() OVER (ORDER BY a.o, a.place) AS BIGINT) AS timetable_id, CAST(a.train_id AS BIGINT) AS train_id, CAST(st.station_id AS BIGINT) AS station_id,
+lpad(CAST((s // 3600) % 24 AS VARCHAR), 2, '0') || ':' || lpad(CAST(s % 3600 // 60 AS VARCHAR), 2, '0') AS arrival_time,
+CASE m WHEN 127 THEN 'Zilnic' WHEN 31 THEN 'Luni - Vineri' WHEN 96 THEN 'Sâmbătă - Duminică' WHEN 63 THEN 'Luni - Sâmbătă' WHEN 95 THEN 'Luni - Vineri și Duminică' WHEN 0 THEN 'Zilnic'
+ELSE array_to_string(list_filter(['Luni', 'Marți', 'Miercuri', 'Joi', 'Vineri', 'Sâmbătă', 'Duminică'], lambda d, i: (CAST(m AS INTEGER) >> (i - 1)) & 1 = 1), ', ') END AS day_type
+FROM a JOIN st ON st.code = a.code AND st.name = a.name""")
+def rail_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rail plan over train elements nested as a timetable XML gives them, made of the rail tables."""
+    t, tt, s = (table(spark, sf_dir, n) for n in ("trains", "timetables", "stations"))
+    none = F.lit(None).cast("string")
+    stop = F.struct(
+        F.col("station_number").cast("string").alias("_CodStaDest"), F.col("station_name").alias("_DenStaDestinatie"), F.expr("cast(timetable_id * 61 as string)").alias("_OraS"), F.expr("cast(timetable_id * 61 + 120 as string)").alias("_OraP"),
+        F.col("service_category").alias("_Rci"), F.struct(F.when(F.col("timetable_id") % 5 == 0, (F.col("timetable_id") % 400).cast("string")).alias("_Zile")).alias("CalendarTren"),
+    )
+    stops = tt.join(F.broadcast(s) if s.count() <= 200_000 else s, "station_id").select("train_id", F.col("timetable_id").alias("place"), stop.alias("x"))
+    rows = stops.select(F.col("train_id").alias("train_order"), "place", F.col("x._CodStaDest").alias("code"), F.col("x._DenStaDestinatie").alias("station"), F.col("x._OraS").alias("seconds_in"), F.col("x._OraP").alias("seconds_out"), F.col("x._Rci").alias("kind"), F.col("x.CalendarTren._Zile").alias("mask"))
+    trains = t.select(F.col("train_id").alias("train_order"), F.col("train_number").alias("number"), F.col("operator_name").alias("operator"), "category", F.coalesce(F.expr("cast((train_id * 37) % 400 as string)"), none).alias("mask"))
+    made = relational.rail_tables(trains, rows)["timetables"]
+    big = lambda c: F.col(c).cast("long").alias(c)
+    return made.select(big("timetable_id"), big("train_id"), big("station_id"), "arrival_time", "day_type")
 
 
 _LITERAL = "coalesce('''' || replace({0}, '''', '''''') || '''', 'NULL')"
@@ -419,8 +522,11 @@ def generation_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT name, array_to_string(cols, ', ') AS columns FROM (VALUES ('counties', ['county_id', 'county_code', 'county_name']), ('stations', ['station_id', 'station_number', 'station_name', 'county']),
 ('trains', ['train_id', 'train_number', 'operator_name', 'category'])) t(name, cols)""")
 def table_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tables and their columns."""
-    return spark.createDataFrame([(n, ", ".join(table(spark, sf_dir, n).columns)) for n in ("counties", "stations", "trains")], "name string, columns string")
+    """The session's tables and their columns."""
+    names = ["counties", "stations", "trains"]
+    for n in [*names, "sqlite_stat"]:
+        table(spark, sf_dir, "stations" if n.startswith("sqlite") else n).createOrReplaceTempView(n)
+    return spark.createDataFrame([(n, ", ".join(c)) for n, c in catalog(spark, [*names, "sqlite_stat"]).items()], "name string, columns string")
 
 
 @query("""WITH a AS (SELECT l_returnflag AS flag, l_linestatus AS status, count(*) AS n, sum(l_linenumber) AS lines FROM lineitem GROUP BY ALL)
@@ -435,33 +541,91 @@ def result_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b.select("n", F.col("signature").alias("other")), "n").join(items, "n").select("n", (F.col("signature") == F.col("other")).alias("same"), "items")
 
 
-_OUTCOME = "CASE CAST(l_orderkey AS BIGINT) % 7 WHEN 0 THEN 'gold_failed' WHEN 1 THEN 'bad_prefix' WHEN 2 THEN 'failed' WHEN 3 THEN 'mismatch' ELSE 'match' END"
-_METRICS = f"""SELECT l_returnflag AS variant, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (o = 'gold_failed') AS BIGINT) AS gold_failures, CAST(count(*) FILTER (o IN ('match', 'mismatch')) AS BIGINT) AS executed,
-CAST(count(*) FILTER (o = 'match' AND l_linenumber = 1) AS BIGINT) AS exact_matches, CAST(count(*) FILTER (o = 'match') AS BIGINT) AS exec_matches FROM (SELECT *, {_OUTCOME} AS o FROM lineitem{{0}}) GROUP BY 1"""
+_TOY = "CREATE TABLE t (a INTEGER, b TEXT); INSERT INTO t VALUES (1, 'x'), (2, 'y'), (3, 'y');"
+_ID = "ascii(substring(md5(id), 1, 1))"
+_GOLD = f"CASE WHEN {_ID} % 5 = 0 THEN 'SELECT b, count(*) AS n FROM t GROUP BY b' WHEN {_ID} % 5 = 1 THEN 'UPDATE t SET a = a + 1 WHERE a > 1' WHEN {_ID} % 5 = 2 THEN 'SELECT nope FROM t' WHEN {_ID} % 5 = 3 THEN '' ELSE 'SELECT a FROM t ORDER BY a' END"
+_GUESS = f"CASE WHEN {_ID} % 5 = 0 THEN 'select count(*) as n, b from t group by b;' WHEN {_ID} % 5 = 1 THEN 'update t set  a = a + 1 where a > 1;' WHEN {_ID} % 5 = 2 THEN 'SELECT 1' ELSE 'SELECT a FROM t WHERE a IN (3, 2, 1)' END"
+_VARIANTS = {"guess": _GUESS, "prose": f"CASE WHEN {_ID} % 2 = 0 THEN 'Interogarea este simplă' ELSE gold END", "wrong": "'SELECT a + 1 AS a FROM t'", "broken": "'SELECT a FROM missing'"}
 
 
-def _metrics(spark: SparkSession, sf_dir: str, only: str = "true") -> DataFrame:
-    o = table(spark, sf_dir, "lineitem").where(only).select(F.col("l_returnflag").alias("variant"), F.expr(_OUTCOME).alias("outcome"), "l_linenumber")
-    return evaluation.metrics(o.withColumn("exact", (F.col("outcome") == "match") & (F.col("l_linenumber") == 1)))
+def _alpaca_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the alpaca table with gold statements that run in a small database, as cases."""
+    q = table(spark, sf_dir, "queries_alpaca_ro").withColumn("output", F.expr(_GOLD)).withColumnRenamed("system_prompt", "system").withColumn("line_no", F.col("id"))
+    return evaluation.cases(q.withColumn("metadata", F.expr("named_struct('domain', case metadata.domain when 'rail' then 'trains' when 'school' then 'education' else metadata.domain end)")), "line_no", "Default")
 
 
-@query(f"SELECT *, executed / greatest(1, total - gold_failures) AS executed_rate, exact_matches / greatest(1, total - gold_failures) AS exact_rate, exec_matches / greatest(1, total - gold_failures) AS match_rate FROM ({_METRICS.format('')})")
-def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Outcome counts and rates by variant."""
-    return _metrics(spark, sf_dir)
+_STRIPPED = {c: _sql_strip(f"coalesce({c}, '')") for c in ("instruction", "input", "system_prompt")}
+_CASES = f"""WITH q AS (SELECT id, {_GOLD} AS gold, CASE lower(CASE metadata.domain WHEN 'rail' THEN 'trains' WHEN 'school' THEN 'education' ELSE metadata.domain END) WHEN 'trains' THEN 'rail_mers_tren' WHEN 'education' THEN 'edu_reteaua_scolara' END AS db,
+{_STRIPPED['instruction']} AS i, {_STRIPPED['input']} AS c, {_STRIPPED['system_prompt']} AS s FROM queries_alpaca_ro),
+cs AS (SELECT id, gold, db, CASE WHEN s = '' THEN 'Default' ELSE s END AS s, CASE WHEN i <> '' AND c <> '' THEN i || chr(10) || chr(10) || c WHEN i <> '' THEN i ELSE c END AS p FROM q WHERE gold <> '' AND db IS NOT NULL AND (i <> '' OR c <> ''))"""
+
 
+@query(f"{_CASES} SELECT id AS case_id, db AS db_id, md5(s) AS system_prompt, md5(p) AS user_prompt, gold AS gold_sql FROM cs")
+def eval_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation cases of alpaca rows, the database by the domain in their metadata."""
+    return _alpaca_cases(spark, sf_dir).select("case_id", "db_id", F.md5("system_prompt").alias("system_prompt"), F.md5("user_prompt").alias("user_prompt"), "gold_sql")
 
-def _cmp(x: str) -> str:
-    return f"(SELECT variant, exec_matches / greatest(1, total - gold_failures) AS r FROM ({_METRICS.format(x)}))"
 
+def _alpaca_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _alpaca_cases(spark, sf_dir)
+    forms = F.array(*[F.struct(F.lit(v).alias("variant"), F.expr(x.replace("(id)", "(case_id)").replace("gold", "gold_sql")).alias("pred_sql")) for v, x in _VARIANTS.items()])
+    predictions = c.select("case_id", F.explode(forms).alias("x")).select("x.variant", "case_id", "x.pred_sql")
+    return evaluation.judged(predictions, c, {"rail_mers_tren": _TOY, "edu_reteaua_scolara": _TOY})
 
-@query(f"""SELECT v.variant, coalesce(a.r, 0.0) AS left_rate, coalesce(b.r, 0.0) AS right_rate, printf('%.2f', coalesce(a.r, 0.0) * 100) || '%' AS left_text, CASE WHEN coalesce(b.r, 0.0) - coalesce(a.r, 0.0) >= 0 THEN '+' ELSE '' END || printf('%.2f', (coalesce(b.r, 0.0) - coalesce(a.r, 0.0)) * 100) || 'pp' AS delta_text
-FROM (VALUES ('A'), ('N'), ('R'), ('X')) v(variant) LEFT JOIN {_cmp(" WHERE l_linenumber <= 3")} a ON a.variant = v.variant LEFT JOIN {_cmp(" WHERE l_linenumber > 3")} b ON b.variant = v.variant""")
+
+# What the small database must answer, told from the statements.
+_OUTCOMES = f"""{_CASES}, v AS (SELECT unnest({list(_VARIANTS)}) AS variant),
+o AS (SELECT v.variant, cs.id, CASE WHEN gold LIKE '%nope%' THEN 'gold_failed' WHEN v.variant = 'prose' AND {_ID} % 2 = 0 THEN 'bad_prefix' WHEN v.variant = 'prose' THEN 'match'
+ WHEN v.variant = 'broken' THEN 'failed' WHEN v.variant = 'wrong' THEN 'mismatch' WHEN gold LIKE 'SELECT b%' THEN 'mismatch' ELSE 'match' END AS outcome,
+ CASE WHEN v.variant = 'prose' AND {_ID} % 2 = 1 THEN true WHEN v.variant = 'guess' AND gold LIKE 'UPDATE%' THEN true ELSE false END AS same FROM cs, v),
+m AS (SELECT variant, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (outcome = 'gold_failed') AS BIGINT) AS gold_failures, CAST(0 AS BIGINT) AS generation_errors, CAST(count(*) FILTER (outcome <> 'gold_failed') AS BIGINT) AS generated,
+ CAST(count(*) FILTER (outcome = 'bad_prefix') AS BIGINT) AS prefix_failures, CAST(count(*) FILTER (outcome IN ('match', 'mismatch')) AS BIGINT) AS executed,
+ CAST(count(*) FILTER (same AND outcome NOT IN ('gold_failed', 'bad_prefix')) AS BIGINT) AS exact_matches, CAST(count(*) FILTER (outcome = 'match') AS BIGINT) AS exec_matches FROM o GROUP BY variant),
+r AS (SELECT *, executed / greatest(1, total - gold_failures) AS executed_rate, exact_matches / greatest(1, total - gold_failures) AS exact_rate, exec_matches / greatest(1, total - gold_failures) AS match_rate FROM m)"""
+
+
+@query(_OUTCOMES + " SELECT * FROM r")
+def eval_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements of four variants run against the cases' gold in SQLite, counted by variant."""
+    return evaluation.metrics(_alpaca_outcomes(spark, sf_dir))
+
+
+@query(_OUTCOMES + """, h AS (SELECT variant, match_rate AS l, exact_rate AS r FROM r)
+SELECT v.variant, coalesce(l, 0.0) AS left_rate, coalesce(r, 0.0) AS right_rate, printf('%.2f', coalesce(l, 0.0) * 100) || '%' AS left_text, CASE WHEN coalesce(r, 0.0) - coalesce(l, 0.0) >= 0 THEN '+' ELSE '' END || printf('%.2f', (coalesce(r, 0.0) - coalesce(l, 0.0)) * 100) || 'pp' AS delta_text
+FROM (VALUES ('guess'), ('prose'), ('broken'), ('none')) v(variant) LEFT JOIN h ON h.variant = v.variant""")
 def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs side by side."""
-    v = spark.createDataFrame([(x,) for x in "ANRX"], "variant string")
-    got = evaluation.compared(v, _metrics(spark, sf_dir, "l_linenumber <= 3"), _metrics(spark, sf_dir, "l_linenumber > 3"), "match_rate")
-    return got.select("variant", "left_rate", "right_rate", "left_text", "delta_text")
+    """Two rates of judged statements side by side for listed variants."""
+    got = cut(evaluation.metrics(_alpaca_outcomes(spark, sf_dir)))
+    listed = spark.createDataFrame([(x,) for x in ("guess", "prose", "broken", "none")], "variant string")
+    out = evaluation.compared(listed, got.select("variant", F.col("match_rate").alias("rate")), got.select("variant", F.col("exact_rate").alias("rate")), "rate")
+    return out.select("variant", "left_rate", "right_rate", "left_text", "delta_text")
+
+
+_LINE = """CASE ascii(substring(md5(id), 2, 1)) % 6 WHEN 0 THEN '  ' WHEN 1 THEN substring(j, 1, 20) WHEN 2 THEN replace(j, '"system":', '"sistem":') WHEN 3 THEN replace(j, '"metadata":{', '"metadata":1,"rest":{') ELSE j END"""
+
+
+@query(f"""WITH d AS (SELECT id, ascii(substring(md5(id), 2, 1)) % 6 AS k, coalesce(output, 'None') AS o, input FROM queries_alpaca_ro WHERE instruction IS NOT NULL),
+w AS (SELECT *, {_sql_strip('o')} AS s FROM d),
+x AS (SELECT CASE k WHEN 0 THEN 'empty_line' WHEN 1 THEN 'invalid_json' WHEN 2 THEN 'missing_key:system' WHEN 3 THEN 'metadata_not_object' ELSE CASE WHEN s = '' THEN 'empty_output_sql' WHEN upper(regexp_extract(s, '^[\\p{{L}}_]+')) NOT IN ('SELECT', 'WITH') THEN 'sql_keyword_not_allowed'
+ WHEN strpos(coalesce(input, ''), 'Schema / context SQL:' || chr(10)) = 0 OR strpos(substring(input, strpos(input, 'Schema / context SQL:' || chr(10)) + 22), chr(10) || chr(10)) = 0 THEN 'input_parse_failed' ELSE 'kept' END END AS reason FROM w)
+SELECT reason, CAST(count(*) AS BIGINT) AS n FROM x GROUP BY reason""")
+def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of the alpaca rows, some blank, broken, without a key or without metadata, through the cleaner."""
+    q = table(spark, sf_dir, "queries_alpaca_ro").where("instruction is not null")
+    j = F.to_json(F.struct("instruction", "input", "output", F.col("system_prompt").alias("system"), F.struct(F.lit(1).alias("n")).alias("metadata")), {"ignoreNullFields": "false"})
+    lines = q.select(F.lit("f").alias("file"), F.col("id").alias("line_no"), "id", j.alias("j")).select("file", "line_no", F.expr(_LINE).alias("value"))
+    out = files.cleaned_lines(lines, "queries", strict_type=True, run_sql=False)
+    bucket = F.col("drop_reason")
+    reason = F.when(bucket.isNull(), "kept").when(bucket.startswith("missing_key"), bucket).otherwise(T.reason_bucket(bucket))
+    return out.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT CAST(count(*) AS BIGINT) AS read, CAST(count(*) FILTER (w) AS BIGINT) AS written FROM (SELECT {_sql_strip("coalesce(instruction, 'None')")} <> '' AND {_OUT} <> '' AS w FROM queries_alpaca_ro)""")
+def prepared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of the alpaca rows as training records with their metadata."""
+    q = table(spark, sf_dir, "queries_alpaca_ro")
+    j = F.to_json(F.struct("id", "task", "instruction", "input", "output", F.col("system_prompt").alias("system"), "metadata"), {"ignoreNullFields": "false"})
+    return files.training_lines(q.select(j.alias("value")), "external_queries").agg(F.count("*").alias("read"), F.count_if("written").alias("written"))
 
 
 _RAIL = """CREATE TABLE stations (station_id INTEGER PRIMARY KEY, station_number INTEGER, station_name VARCHAR(100), county VARCHAR(60));
@@ -475,10 +639,10 @@ CREATE TABLE schools (school_id INTEGER PRIMARY KEY, school_name TEXT, short_nam
 
 @query()
 def sandbox_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every generated statement run in SQLite over its domain's schema, by status.  Not F11 (empty results): the
-    databases have next to no rows."""
+    """Every generated statement run in SQLite over its domain's schema, by status.  The
+    databases have a row or none, so most queries that run count as empty results (F11)."""
     g = table(spark, sf_dir, "generated_example").select("id", "db_id", "sql", "task")
-    out = cleaning.validated(g, {"mers_tren": _RAIL, "retea_scolara": _SCHOOL}, strict_non_empty=False)
+    out = cleaning.validated(g, {"mers_tren": _RAIL, "retea_scolara": _SCHOOL})
     return out.groupBy("db_id", "status").agg(F.count("*").alias("n"))
 
 

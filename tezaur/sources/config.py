@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -68,6 +69,9 @@ def shard_folders(given: list[str] | None, root: str, pattern: str = "*") -> lis
     return found
 
 
-def catalog(spark: SparkSession) -> dict[str, list[str]]:
-    """Tables and temporary views, by name, with their columns in declared order."""
-    return {t.name: spark.table(t.name).columns for t in sorted(spark.catalog.listTables(), key=lambda t: t.name) if not t.name.startswith("sqlite")}
+def catalog(spark: SparkSession, names: list[str] | None = None) -> dict[str, list[str]]:
+    """Tables and temporary views, by name, with their columns in declared order (all, or those of ``names``).  Names that are ``sqlite`` and at
+    least one character more are the database's own."""
+    own = re.compile(r"(?is)sqlite.")
+    found = sorted(t.name for t in spark.catalog.listTables() if not own.match(t.name))
+    return {n: spark.table(n).columns for n in found if names is None or n in names}
