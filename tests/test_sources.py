@@ -89,7 +89,7 @@ def test_cleaning_with_sql(spark):
     rows = cleaning.cleaned(df, "queries", strict_type=True, run_sql=True).collect()
     ok = [r for r in rows if r.drop_reason is None]
     assert len(ok) == 1 and ok[0].instruction == "și" and ok[0].input.endswith("Întrebare:\nîn?") and sorted(ok[0].changed_fields) == ["input.question_ro", "instruction"]
-    assert sorted(r.drop_reason.split(":")[0] for r in rows if r.drop_reason) == ["empty_output_sql", "input_parse_failed", "sql_exec_failed"]
+    assert sorted(r.drop_reason.split(":")[0] for r in rows if r.drop_reason) == ["input_parse_failed", "sql_exec_failed", "sql_keyword_not_allowed"]
 
 
 def test_exports_and_prompts(spark, tmp_path):

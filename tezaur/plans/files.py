@@ -40,7 +40,8 @@ def edited(value: str, **fields: str) -> Column:
     names = list(fields)
 
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for values, *columns in batches:
+        for batch in batches:
+            values, *columns = batch if isinstance(batch, tuple) else (batch,)
             out = []
             for v, *new in zip(values, *columns):
                 d = json.loads(v)

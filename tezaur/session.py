@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +27,15 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, driver_memor
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a folder of this machine where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir.  Where it is unset, a folder of this machine for local sessions (removed at the
+    end); on a cluster, an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tezaur-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="tezaur-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        folder = "file://" + own
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
