@@ -8,6 +8,8 @@ skipped.  Merging n bytes takes O(n) queue operations, so very long pre-tokens a
 from __future__ import annotations
 
 import base64
+import re
+from array import array
 from collections.abc import Iterator
 
 import pandas as pd
@@ -103,25 +105,45 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
+# A blank and what follows it up to the next white space, or white space: the pattern never joins what two such chunks hold.
+_CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+").findall
+_SEPARATORS = re.compile("[\x1c-\x1f]")  # white space for ``re``, not for the pattern
+
+
 class Encoder:
-    """Encodes whole texts; a dictionary of pre-tokens met before is kept up to ``keep`` entries and then begun anew."""
+    """Encodes whole texts; dictionaries of chunks and pre-tokens met before are kept up to ``keep`` entries and then begun anew."""
 
     def __init__(self, ranks: dict[bytes, int], keep: int = 200_000) -> None:
-        self.ranks, self.keep, self.known = ranks, keep, {}
+        self.ranks, self.keep, self.known, self.merged = ranks, keep, {}, {}
         self.split = regex.compile(PATTERN).findall
 
+    def _pieces(self, chunk: str) -> list[int]:
+        ids: list[int] = []
+        for p in self.split(chunk):
+            x = self.merged.get(p)
+            if x is None:
+                x = merge(p.encode("utf-8", "replace"), self.ranks)
+                if len(self.merged) >= self.keep:
+                    self.merged.clear()
+                if len(p) <= 64:
+                    self.merged[p] = x
+            ids += x
+        return ids
+
     def __call__(self, text: str | None) -> list[int]:
         if not text:
             return []
+        if _SEPARATORS.search(text):
+            return self._pieces(text)
         known, ids = self.known, []
-        for p in self.split(text):
-            x = known.get(p)
+        for c in _CHUNK(text):
+            x = known.get(c)
             if x is None:
-                x = merge(p.encode("utf-8", "replace"), self.ranks)
+                x = self._pieces(c)
                 if len(known) >= self.keep:
                     known.clear()
-                if len(p) <= 64:
-                    known[p] = x
+                if len(c) <= 64:
+                    known[c] = x
             ids += x
         return ids
 
@@ -142,3 +164,17 @@ def ids_udf(spark: SparkSession, vocabulary: str = VOCABULARY):
 def encode_corpus(df: DataFrame, text: str | Column = "text", out: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
     """Adds the ids of each text: an empty list for null and for empty text, never null.  Strings that look like special tokens are ordinary text."""
     return df.withColumn(out, ids_udf(df.sparkSession, vocabulary)(F.col(text) if isinstance(text, str) else text))
+
+
+def packed_ids(spark: SparkSession, vocabulary: str = VOCABULARY):
+    """Column function: text -> its ids as bytes, and how many bytes each takes (two for a vocabulary of up to 65,536 ids, else four)."""
+    ranks = read_ranks(vocabulary)
+    shared, kind = spark.sparkContext.broadcast(ranks), "H" if max(ranks.values(), default=0) < 1 << 16 else "I"
+
+    @F.pandas_udf("binary")
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = Encoder(shared.value)
+        for texts in batches:
+            yield pd.Series([array(kind, encoder(t)).tobytes() for t in texts], index=texts.index, dtype=object)
+
+    return encode, array(kind).itemsize
