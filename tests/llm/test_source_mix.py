@@ -16,16 +16,30 @@ def test_permutation():
     assert M.permuted(np.arange(1000), 1000, 5).tolist() != M.permuted(np.arange(1000), 1000, 6).tolist()
 
 
-def test_split_totals():
-    totals = np.array([700, 250, 53])
-    parts = [M.split_totals(totals, 64, 16, s, 1) for s in range(16)]
-    assert sum(c for c, _ in parts).tolist() == totals.tolist()
+def test_permutation_and_its_inverse():
+    for size in (1, 2, 7, 1000):
+        assert M.permuted(M.permuted(np.arange(size), size, 5), size, 5, back=True).tolist() == list(range(size))
+
+
+@pytest.mark.parametrize("factor", [1, 10**9])  # one way at any size
+def test_split_totals(factor):
+    totals = [700 * factor, 250 * factor, 53 * factor]
+    split = M.Split(totals, 64 * factor, 16, 1)
+    parts = [split(s) for s in range(16)]
+    assert sum(c for c, _ in parts).tolist() == totals
     seen = np.zeros(3, int)
     for c, o in parts:
-        assert o.tolist() == seen.tolist() and c.sum() <= 64
+        assert o.tolist() == seen.tolist() and 0 <= c.sum() <= 64 * factor and c.min() >= 0
         seen += c
-    big = [M.split_totals(np.array([3_000_000_000, 1_000_000_001]), 1_000_000_001, 4, s, 1)[0] for s in range(4)]
-    assert sum(big).tolist() == [3_000_000_000, 1_000_000_001]
+
+
+def test_hypergeometric():
+    rng = np.random.default_rng(1)
+    got = np.array([M.hypergeometric(30, 70, 20, rng.random()) for _ in range(20_000)])
+    want = np.random.default_rng(2).hypergeometric(30, 70, 20, 20_000)
+    assert abs(got.mean() - 6) < 0.05 and abs(got.var() - want.var()) < 0.15 and got.min() >= 0 and got.max() <= 20
+    assert M.hypergeometric(5, 0, 3, 0.4) == 3 and M.hypergeometric(0, 5, 3, 0.4) == 0 and M.hypergeometric(5, 5, 10, 0.9) == 5
+    assert abs(M.hypergeometric(3 * 10**10, 7 * 10**10, 10**10, 0.5) - 3 * 10**9) < 10**6
 
 
 def test_plan():

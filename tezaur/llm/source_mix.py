@@ -5,11 +5,15 @@ how many of its slots go to each source: multinomial draws given the sources' to
 shards with seeded hypergeometric draws, so that any shard finds its counts and offsets by itself.  A slot's running number within
 its source is mapped through the source's pseudorandom permutation of block indices (another one on each pass), and blocks are joined by
 index.  A block, and so every token of a document, comes at most ``max_repeats`` times.
+
+The documents are encoded once, to ids of two or four bytes; the shares are planned from their counts, and only blocks that some slot
+draws are packed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -17,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .tokenizer import VOCABULARY, encode_corpus
+from .tokenizer import VOCABULARY, packed_ids
 
 BUCKET = 50_000
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -30,41 +34,73 @@ def _mix(x: np.ndarray, key: int) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
-    """A pseudorandom permutation of 0..size-1, applied to ``index``: four Feistel rounds, walked until inside."""
+def _rounds(size: int) -> tuple[np.uint64, np.uint64]:
     half = max(1, (max(size - 1, 1).bit_length() + 1) // 2)
-    mask = np.uint64((1 << half) - 1)
+    return np.uint64(half), np.uint64((1 << half) - 1)
+
+
+def permuted(index: np.ndarray, size: int, key: int, back: bool = False) -> np.ndarray:
+    """A pseudorandom permutation of 0..size-1, applied to ``index`` (or its inverse): four Feistel rounds, walked until inside."""
+    half, mask = _rounds(size)
     out = index.astype(np.uint64)
     todo = np.ones(len(out), bool)
     while todo.any():
         x = out[todo]
-        left, right = x >> np.uint64(half), x & mask
+        left, right = x >> half, x & mask
         for r in range(4):
-            left, right = right, left ^ (_mix(right, key * 31 + r) & mask)
-        out[todo] = (left << np.uint64(half)) | right
+            if back:
+                left, right = right ^ (_mix(left, key * 31 + 3 - r) & mask), left
+            else:
+                left, right = right, left ^ (_mix(right, key * 31 + r) & mask)
+        out[todo] = (left << half) | right
         todo = out >= np.uint64(size)
     return out.astype(np.int64)
 
 
-def split_totals(totals: np.ndarray, slots: int, shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(counts, offsets) of one shard: how many slots each source gets in it and in all shards before it."""
-    lo, hi, left = 0, shards, totals.astype(np.int64).copy()
-    offset = np.zeros_like(left)
-    while hi - lo > 1:
-        mid = (lo + hi) // 2
-        here = min(int(left.sum()), (mid - lo) * slots)
-        if left.sum() < 1_000_000_000:
-            first = np.random.default_rng([seed, lo, hi]).multivariate_hypergeometric(left, here, method="marginals")
-        else:  # past the generator's range: the expected split, remainders to the largest fractions
-            exact = left * (here / left.sum())
-            first = np.minimum(np.floor(exact).astype(np.int64), left)
-            order = np.argsort(first - exact, kind="stable")
-            first[order[: here - int(first.sum())]] += 1
-        if shard < mid:
-            left, hi = first, mid
-        else:
-            offset, left, lo = offset + first, left - first, mid
-    return left, offset
+def hypergeometric(good: int, bad: int, n: int, u: float) -> int:
+    """How many of ``n`` items drawn from ``good`` + ``bad`` ones are good, at the uniform number u: the distribution added up within twelve
+    standard deviations of its mode (what lies beyond is below the precision of u)."""
+    lo, hi = max(0, n - bad), min(n, good)
+    if lo >= hi:
+        return lo
+    total = good + bad
+    sd = (n * (good / total) * (bad / total) * ((total - n) / max(total - 1, 1))) ** 0.5
+    mode = (n + 1) * (good + 1) // (total + 2)
+    lo, hi = max(lo, mode - int(12 * sd) - 12), min(hi, mode + int(12 * sd) + 12)
+    k = np.arange(lo, hi, dtype=np.float64)
+    logs = np.concatenate([[0.0], np.cumsum(np.log((good - k) * (n - k)) - np.log((k + 1) * (bad - n + k + 1)))])
+    mass = np.cumsum(np.exp(logs - logs.max()))
+    return lo + int(np.searchsorted(mass, u * mass[-1], "right"))
+
+
+class Split:
+    """The sources' totals split among shards of ``slots`` slots."""
+
+    def __init__(self, totals: list[int], slots: int, shards: int, seed: int) -> None:
+        self.totals, self.slots, self.shards, self.seed = tuple(map(int, totals)), slots, shards, seed
+        self.first = lru_cache(100_000)(self._first)
+
+    def _first(self, lo: int, hi: int, left: tuple[int, ...]) -> tuple[int, ...]:
+        """What the first half of the shards lo..hi gets of what is left for them: one hypergeometric draw for each source."""
+        rng = np.random.default_rng([self.seed, lo, hi])
+        rest, here, out = sum(left), ((lo + hi) // 2 - lo) * self.slots, []
+        here = min(rest, here)
+        for n in left:
+            rest -= n
+            out.append(hypergeometric(n, rest, here, rng.random()))
+            here -= out[-1]
+        return tuple(out)
+
+    def __call__(self, shard: int) -> tuple[np.ndarray, np.ndarray]:
+        """(counts, offsets) of one shard: how many slots each source gets in it and in all shards before it."""
+        lo, hi, left, offset = 0, self.shards, self.totals, (0,) * len(self.totals)
+        while hi - lo > 1:
+            first = self.first(lo, hi, left)
+            if shard < (mid := (lo + hi) // 2):
+                left, hi = first, mid
+            else:
+                offset, left, lo = tuple(map(sum, zip(offset, first))), tuple(a - b for a, b in zip(left, first)), mid
+        return np.array(left, np.int64), np.array(offset, np.int64)
 
 
 def plan(sources: list[tuple[str, float, int, int]]) -> dict[str, int]:
@@ -77,49 +113,89 @@ def plan(sources: list[tuple[str, float, int, int]]) -> dict[str, int]:
     return {name: min(blocks * repeats, max(1, round(total * share))) for name, share, repeats, blocks in some}
 
 
-def packed(docs: DataFrame, block: int) -> DataFrame:
-    """docs(id, source, ids) -> (source, block, pieces array<struct<id, start, n>>, ids), blocks numbered from 0 in each source."""
-    rows = docs.withColumn("n", F.size("ids").cast("long")).where("n > 0")
-    count = rows.count()
-    buckets = max(1, -(-count // BUCKET))
-    rows = rows.withColumn("h", F.xxhash64("id", F.lit(7))).withColumn("bucket", F.pmod("h", F.lit(buckets)))
-    sums = rows.groupBy("source", "bucket").agg(F.sum("n").alias("all_n"))
-    base = sums.withColumn("base", F.sum("all_n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("all_n")).drop("all_n")
-    within = Window.partitionBy("source", "bucket").orderBy("h", "id", "n")
-    placed = rows.withColumn("upto", F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0))).join(base, ["source", "bucket"])
-    placed = placed.withColumn("at", F.col("base") + F.col("upto") - F.col("n"))
-    first, last = F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("n") - 1) / block)
-    pieces = placed.select("source", "id", "ids", "n", "at", F.explode(F.sequence(first, last)).alias("block"))
-    start = F.greatest(F.lit(0), F.col("block") * block - F.col("at")).cast("int")
-    end = F.least(F.col("n"), (F.col("block") + 1) * block - F.col("at")).cast("int")
-    pieces = pieces.select("source", "block", F.struct((F.col("at") + start).alias("at"), "id", start.alias("start"), (end - start).alias("n"), F.slice("ids", start + 1, end - start).alias("ids")).alias("p"))
-    grouped = pieces.groupBy("source", "block").agg(F.array_sort(F.collect_list("p")).alias("ps"))
-    return grouped.select("source", "block", F.transform("ps", lambda p: F.struct(p["id"].alias("id"), p["start"].alias("start"), p["n"].alias("n"))).alias("pieces"), F.flatten(F.transform("ps", lambda p: p["ids"])).alias("ids"))
+def _key(seed: int, source: int, turn: int) -> int:
+    return seed * 1_000_003 + source * 1009 + turn
+
+
+def _packer(block: int, width: int, drawn: dict[str, Callable[[int], bool]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Documents of a bucket in order -> pieces of blocks: (source, block, at, pieces, raw), whole blocks but at the bucket's ends."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, source, number, start, pieces, raws = None, None, -1, 0, [], []
+        out: list[tuple] = []
+
+        def close() -> None:
+            if pieces:
+                out.append((source, number, start, list(pieces), b"".join(raws)))
+                pieces.clear()
+                raws.clear()
+
+        for pdf in batches:
+            for s, bucket, base, i, raw in zip(pdf["source"], pdf["bucket"], pdf["base"], pdf["id"], pdf["raw"]):
+                if (s, bucket) != now:
+                    close()
+                    now, source, at = (s, bucket), s, base
+                wanted, n, done = drawn.get(s), len(raw) // width, 0
+                while done < n and wanted is not None:
+                    b, inside = divmod(at + done, block)
+                    take = min(n - done, block - inside)
+                    if b != number or not pieces:
+                        close()
+                        number, start = b, inside
+                    if wanted(b):
+                        pieces.append((i, done, take))
+                        raws.append(raw[done * width : (done + take) * width])
+                    done += take
+                at += n
+            if len(out) >= 2000:
+                yield pd.DataFrame(out, columns=["source", "block", "at", "pieces", "raw"])
+                out.clear()
+        close()
+        yield pd.DataFrame(out, columns=["source", "block", "at", "pieces", "raw"])
+
+    return run
+
+
+def packed(encoded: DataFrame, block: int, width: int, drawn: dict[str, Callable[[int], bool]]) -> DataFrame:
+    """encoded(id, source, raw) -> (source, block, pieces array<struct<id, start, n>>, raw), blocks numbered from 0 in each source, only
+    those ``drawn``.  A bucket of about BUCKET documents is packed in one go; only pieces at its ends meet others."""
+    kind = encoded.schema["id"].dataType.simpleString()
+    rows = encoded.withColumn("h", F.xxhash64("id", F.lit(7))).withColumn("bucket", F.pmod("h", F.lit(max(1, -(-encoded.count() // BUCKET)))))
+    sums = rows.groupBy("source", "bucket").agg(F.sum(F.length("raw").cast("long")).alias("all_n"))
+    base = sums.withColumn("base", ((F.sum("all_n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("all_n")) / width).cast("long")).drop("all_n")
+    some = rows.where(F.col("source").isin(list(drawn))).join(base, ["source", "bucket"])
+    ordered = some.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "h", "id", "raw").select("source", "bucket", "base", "id", "raw")
+    made = ordered.mapInPandas(_packer(block, width, drawn), f"source string, block long, at int, pieces array<struct<id:{kind},start:int,n:int>>, raw binary")
+    grouped = made.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("at", "pieces", "raw"))).alias("ps"))
+    raw = F.aggregate("ps", F.lit(b""), lambda a, p: F.concat(a, p["raw"]))
+    return grouped.select("source", "block", F.flatten(F.transform("ps", lambda p: p["pieces"])).alias("pieces"), raw.alias("raw"))
 
 
 def mixture(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", source: str = "source", text: str = "text", block: int = 512, slots: int = 256, seed: int = 42, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(shard, slot, source, block, copy, pieces, ids): the mixture's blocks in order of shard and slot.
+    """(shard, slot, source, block, copy, pieces, ids): the mixture's blocks.
 
     ``copy`` counts from 1.  A source's last block may be shorter.  Null and empty texts have no tokens and take no room; documents of a
     null source, or of one without a target, stay out; a target without documents gets nothing and the others share its part.
     """
     spark = docs.sparkSession
     goals = targets.where("source is not null").select(F.col("source"), "target_share", "max_repeats")
+    encode, width = packed_ids(spark, vocabulary)
     own = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), F.col(text).alias("text")).join(F.broadcast(goals.select("source").distinct()), "source", "left_semi")
-    encoded = cut(encode_corpus(own, "text", "ids", vocabulary).select("id", "source", "ids"))  # encoded once, counted and packed
-    blocks = cut(packed(encoded, block))
-    sizes = blocks.groupBy("source").agg((F.max("block") + 1).alias("blocks"))
+    encoded = cut(own.where(F.length("text") > 0).select("id", "source", encode("text").alias("raw")))  # encoded once, counted and packed
+    sizes = encoded.groupBy("source").agg(F.ceil(F.sum(F.length("raw")) / (block * width)).alias("blocks"))
     # One row for each target: the fixed list of sources, not the corpus.
     told = [(r.source, r.target_share, r.max_repeats, r.blocks or 0) for r in goals.join(sizes, "source", "left").orderBy("source").collect()]
     wanted = plan(told)
     names = sorted(wanted)
-    totals, have = np.array([wanted[n] for n in names], np.int64), {n: b for n, _, _, b in told}
-    shards = int(-(-totals.sum() // slots)) if names else 0
+    totals, have = [wanted[n] for n in names], {n: int(b) for n, _, _, b in told}
+    shards = -(-sum(totals) // slots) if names else 0
+    split = (totals, slots, shards, seed)
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts_of = Split(*split)
         for pdf in batches:
             for shard in pdf["id"]:
-                counts, offsets = split_totals(totals, slots, shards, int(shard), seed)
+                counts, offsets = counts_of(int(shard))
                 which = np.repeat(np.arange(len(names)), counts)
                 index = np.concatenate([np.arange(o, o + c) for o, c in zip(offsets, counts)]) if len(which) else np.zeros(0, np.int64)
                 size = np.array([have[n] for n in names], np.int64)[which]
@@ -128,12 +204,29 @@ def mixture(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", source:
                 for k in range(len(names)):
                     for c in np.unique(copy[which == k]):
                         at = (which == k) & (copy == c)
-                        number[at] = permuted(place[at], have[names[k]], seed * 1_000_003 + k * 1009 + int(c))
+                        number[at] = permuted(place[at], have[names[k]], _key(seed, k, int(c)))
                 order = np.random.default_rng([seed, 1, int(shard)]).permutation(len(which))
                 yield pd.DataFrame({"shard": shard, "slot": np.arange(len(which), dtype=np.int32), "source": np.array(names, object)[which[order]], "block": number[order], "copy": copy[order] + 1})
 
+    def is_drawn(k: int) -> Callable[[int], bool]:
+        size, most, key = have[names[k]], totals[k], _key(seed, k, 0)
+        known: dict[int, np.ndarray] = {}  # of the last blocks asked for
+
+        def some(b: int) -> bool:
+            page, at = divmod(b, 4096)
+            if page not in known:
+                known.clear()
+                known[page] = permuted(np.arange(page * 4096, min(size, page * 4096 + 4096)), size, key, back=True) < most
+            return bool(known[page][at])
+
+        return (lambda b: True) if most >= size else some
+
     drawn = spark.range(shards).mapInPandas(draw, "shard long, slot int, source string, block long, copy long")
-    return drawn.join(blocks, ["source", "block"]).select("shard", "slot", "source", "block", "copy", "pieces", "ids")
+    blocks = packed(encoded, block, width, {n: is_drawn(k) for k, n in enumerate(names)})
+    ids = F.pandas_udf(lambda raws: raws.map(lambda x: np.frombuffer(x, f"<u{width}").astype(np.int32)), "array<int>")
+
+    joined = drawn.join(blocks, ["source", "block"])
+    return joined.select("shard", "slot", "source", "block", "copy", "pieces", ids("raw").alias("ids"))
 
 
 def report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
