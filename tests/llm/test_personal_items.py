@@ -33,15 +33,10 @@ NONE = [
 
 @pytest.mark.parametrize("text,kind,item", CASES)
 def test_shapes(text, kind, item):
-    got = [(k, text[a:b]) for k, a, b in P.shaped(text)]
+    got = [(k, text[a:b]) for k, a, b, *_ in P.proposals(text)[0]]
     assert (kind, item) in [(k, x[: len(item)]) for k, x in got] and all(k == kind for k, _ in got)
 
 
-@pytest.mark.parametrize("text", NONE)
-def test_no_items(text):
-    assert P.shaped(text) == []
-
-
 def rows():
     given, family = ["Vlad", "Ilinca", "Matei", "Corina"], ["Zăvoiea", "Ghimpescu", "Morăraru", "Tomșinea"]
     out = []
@@ -68,6 +63,23 @@ def test_found_and_sanitised(spark):
     assert texts[104] == texts[0] and "[EMAIL] acum, Lunca Sud" in texts[0]
 
 
+def test_shapes_only_propose(spark):
+    """Numbers of a phone's or a personal number's shape are items where what stands before them tells so in the corpus."""
+    told = [(i, f"Scrie-mi: tel. +40 700 040 {i + 100}, te rog.") for i in range(60)] + [(60 + i, f"tel. 0700 040 {i + 100}") for i in range(20)]
+    told += [(100 + i, f"Trenul {i} are {i} locuri, comanda {i}-22.") for i in range(60)]
+    none = [(200 + i, t) for i, t in enumerate(NONE)] + [(300 + i, f"AWB 15866095616{i}") for i in range(30, 60)]
+    df = spark.createDataFrame([*told, *none], "doc_id long, text string")
+    got = {(r.doc_id, r.pii_type) for r in P.found(df).collect()}
+    assert got == {(i, "phone") for i in range(80)}
+
+
+def test_check_digit_and_label(spark):
+    texts = ["CNP: 2780310642860", "AWB 2780310642861", "Steuer-ID: 07827615123.", "☎ 07827615123", "mon NIR est le 2 51 13 99 186 728 92"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.pii_type) for r in P.found(df).collect()}
+    assert {(0, "identity_number"), (2, "identity_number"), (4, "identity_number")} <= got and not any(i == 1 for i, _ in got) and (3, "identity_number") not in got
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert P.found(df).count() == 0 and P.sanitised(df).count() == 0
