@@ -1,9 +1,10 @@
-"""Column functions on text.  Every function takes and returns Columns and stays in the JVM."""
+"""Column functions on text.  Every function takes and returns Columns and stays in the JVM (but for the two of reports at the end)."""
 
 from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -196,10 +197,20 @@ def first_match(c: Column, rules: list[tuple[str, list[str]]], default: str) ->
     return out.otherwise(default)
 
 
+def _rounded(c: Column, sign: bool) -> Column:
+    """Two digits after the point, rounded as the binary number lies (ties to even): the JVM's format rounds its decimal text.  For reports of
+    a few rows, so a Python function may do it."""
+
+    def run(numbers: pd.Series) -> pd.Series:
+        return numbers.map(lambda x: f"{'+' if sign and x >= 0 else ''}{x:.2f}", na_action="ignore")
+
+    return F.pandas_udf(run, "string")(c)
+
+
 def percent(c: Column) -> Column:
-    return F.concat(F.format_string("%.2f", c * 100), F.lit("%"))
+    return F.concat(_rounded(c * 100, False), F.lit("%"))
 
 
 def points(c: Column) -> Column:
     """Signed difference in percentage points."""
-    return F.concat(F.when(c >= 0, "+").otherwise(""), F.format_string("%.2f", c * 100), F.lit("pp"))
+    return F.concat(_rounded(c * 100, True), F.lit("pp"))

@@ -19,6 +19,9 @@ _MARK = "_checked_"
 
 
 def _guarded(db: sqlite3.Connection, steps: int) -> None:
+    if not steps:
+        db.set_progress_handler(None, 0)
+        return
     left = [steps // 1000]
 
     def tick() -> int:
@@ -87,9 +90,9 @@ RESULT = "struct<success:boolean,row_count:long,error:string,column_names:array<
 SIGNATURE = "struct<kind:string,columns:array<string>,rows:array<string>,n:long,error:string>"
 
 
-def executed(df: DataFrame, db_id: str, sql: str, dumps: dict[str, str], out: str = "result", as_signature: bool = False) -> DataFrame:
+def executed(df: DataFrame, db_id: str, sql: str, dumps: dict[str, str], out: str = "result", as_signature: bool = False, steps: int = STEPS) -> DataFrame:
     """Adds the result (or signature) of each row's statement in its database.  ``dumps`` maps database ids to scripts; unknown ids and
-    null statements give an error result.  The scripts (given by the caller, one for each domain) are broadcast."""
+    null statements give an error result.  A statement ends with an error after ``steps`` (0: no limit).  The scripts (given by the caller, one for each domain) are broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(dumps)
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -101,7 +104,7 @@ def executed(df: DataFrame, db_id: str, sql: str, dumps: dict[str, str], out: st
             for i, s in zip(ids, texts):
                 if i not in open_ and i in shared.value:
                     open_[i] = database(shared.value[i])
-                rows.append(step(open_[i], s or "") if i in open_ else unknown)
+                rows.append(step(open_[i], s or "", steps) if i in open_ else unknown)
             yield pd.DataFrame(rows, columns=list(unknown))
 
     kind = SIGNATURE if as_signature else RESULT
@@ -109,7 +112,7 @@ def executed(df: DataFrame, db_id: str, sql: str, dumps: dict[str, str], out: st
 
 
 def valid_in_context(df: DataFrame, context: str, sql: str, out: str = "error", steps: int = STEPS) -> DataFrame:
-    """Adds the error of running ``sql`` in a fresh database after its own context script; null where it runs."""
+    """Adds the error of running ``sql`` in a fresh database after its own context script; null where it runs (``steps`` as in executed)."""
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for contexts, texts in batches:

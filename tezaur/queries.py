@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -14,7 +15,7 @@ from .operators.sandbox import valid_in_context
 from .operators.waterfall import classified, counters, keep_rate
 from .plans import cleaning, evaluation, exports, files, introspect, prompts, relational
 from .plans.split import evaluation_split, file_counts
-from .session import cut, table
+from .session import cut, shared_folder, table
 from .sources.config import catalog
 from .sources.dumps import insert_statements
 from .streaming.state import first_seen, is_late, window_counts
@@ -680,9 +681,14 @@ def window_counts_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT CAST(count(DISTINCT coalesce(sql, '')) AS BIGINT) AS n FROM generated_example")
 def stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first-seen filter of streams, over a batch table."""
-    g = table(spark, sf_dir, "generated_example").select("created_at", F.coalesce("sql", F.lit("")).alias("sql"))
-    return first_seen(g, F.col("sql"), "created_at").agg(F.count("*").alias("n"))
+    """D1 on a stream: the table's files read as a stream, first-seen filter with a watermark that no row is later than, written and counted."""
+    schema = table(spark, sf_dir, "generated_example").select("created_at", "sql").schema
+    files_of = spark.readStream.schema(schema).parquet(f"{sf_dir}/generated_example.parque[t]")
+    kept = first_seen(files_of.select(F.col("created_at").cast("timestamp").alias("created_at"), F.coalesce("sql", F.lit("")).alias("sql")), F.col("sql"), "created_at", "36500 days")
+    folder = f"{shared_folder(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    run = kept.writeStream.format("parquet").option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema(kept.schema).parquet(f"{folder}/rows").agg(F.count("*").alias("n"))
 
 
 # Statements that any SELECT may contain, run natively.
