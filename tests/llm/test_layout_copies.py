@@ -31,9 +31,10 @@ def test_hot_group_and_several_bitmaps(spark):
     df = spark.createDataFrame(rows, "id string, question_en string, sql string").repartition(7)
     pairs, records = L.layout_copies(df, "id", "question_en", "sql", heavy_at=100)
     assert pairs.count() == 499 and pairs.where("id_a = 'h0000'").count() == 499 and records.count() == 1001
-    keyed = L.with_key(df, "question_en", "sql")
-    split = L.split_by_bitmap(keyed, most_bits=1 << 12)
+    keyed = L.cut(L.with_key(df, "question_en", "sql"))
+    split = L.split_by_bitmap(keyed, most_bits=1 << 16, bits_per_row=160, chunk=50)
     assert split.count() == 1500 and split.where("__maybe").where("question_en = sql or id like 'h%'").count() == 500
+    assert split.where("__maybe and id like 's%'").count() < 20
     assert L.split_by_bitmap(keyed).where("__maybe and id like 's%'").count() < 100
 
 

@@ -1,27 +1,29 @@
 """Records that repeat another one in a different layout.
 
-Method: every record gets a canonical key.  Each partition builds two Bloom bitmaps of its keys, one of keys seen, one of keys seen
-again; the bitmaps of all partitions are merged (a bit seen in two partitions was seen again).  Keys whose bits are not all in the
-merged second bitmap are certain to be single and leave without a shuffle; only the others are grouped, by the exact key.  A false
-positive of the bitmap costs a shuffled row and changes no result.  A bitmap has at most ``most_bits`` bits, which bounds what is
-broadcast; where the rows need more, the keys are dealt to several bitmaps.
+Method: every record gets a canonical key.  Each partition sketches its keys for two Bloom filters, one of keys seen, one of keys seen
+again; the filters are cut into segments of bounded size (a key's bits lie in one), and each segment merges the partitions' sketches (a
+bit seen in two of them was seen again) and answers which of their keys may be repeats.  The answers, one bit a key, lie in the shared
+folder, where each partition reads its own: nothing comes to the driver, nothing is broadcast, and no row is shuffled for it.  Keys
+whose bits were not all seen again are certain to be single and leave without a shuffle; only the others are grouped, by the exact key.
+A false positive of the filter costs a shuffled row and changes no result.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
+import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ..session import cut
+from ..session import cut, shared_folder
+from .gathering import bits_for
 
-SEGMENT_BITS = 1 << 20
 HASHES = 3
 
 # Marks that carry no meaning in a sentence.
@@ -108,91 +110,108 @@ def with_key(df: DataFrame, prose: str, sql: str, key: str = "key") -> DataFrame
     return df.withColumn(key, F.unhex(F.md5(F.concat_ws("\x1f", part(canonical_prose(F.col(prose))), part(canonical_sql_column(F.col(sql)))))))
 
 
-def _places(keys: pd.Series, bits: int) -> np.ndarray:
-    """Bit places (rows x HASHES) of 16-byte keys."""
-    raw = np.frombuffer(b"".join(map(bytes, keys)), dtype="<u8").reshape(-1, 2)
-    a, b = raw[:, 0], raw[:, 1] | np.uint64(1)
+class _Sketch:
+    """The distinct keys of some rows, by segment."""
+
+    def __init__(self, keys: list[bytes], segments: int, bits: int) -> None:
+        raw = np.frombuffer(b"".join(keys), dtype="<u8").reshape(-1, 2)
+        segment = ((raw[:, 1] >> np.uint64(32)) % np.uint64(segments)).astype(np.int64)
+        order = np.lexsort((raw[:, 0], raw[:, 1], segment))
+        new = np.ones(len(raw), bool)
+        new[1:] = (raw[order][1:] != raw[order][:-1]).any(axis=1)
+        group = np.cumsum(new) - 1
+        self.of_row = np.empty(len(raw), np.int64)
+        self.of_row[order] = group
+        first = order[new]
+        self.segment, self.again = segment[first], np.bincount(group) > 1
+        # Two numbers of 32 bits tell all places of a key in its segment.
+        low = np.uint64(0xFFFFFFFF)
+        self.codes = np.stack([raw[first, 0] & low, (raw[first, 1] & low) ^ (raw[first, 0] >> np.uint64(32))], axis=1).astype(np.uint32)
+        self.starts = np.flatnonzero(np.concatenate([[True], self.segment[1:] != self.segment[:-1]])) if len(first) else np.zeros(0, np.int64)
+
+    def parts(self) -> Iterator[tuple[int, slice]]:
+        for a, b in zip(self.starts, [*self.starts[1:], len(self.segment)]):
+            yield int(self.segment[a]), slice(int(a), int(b))
+
+
+def _places(codes: np.ndarray, bits: int) -> np.ndarray:
+    """Bit places (keys x HASHES) in a segment."""
+    a, b = codes[:, 0].astype(np.uint64), codes[:, 1].astype(np.uint64) | np.uint64(1)
     with np.errstate(over="ignore"):
         return np.stack([(a + np.uint64(i) * b) & np.uint64(bits - 1) for i in range(HASHES)], axis=1).astype(np.int64)
 
 
-def _pack(flags: np.ndarray) -> bytes:
-    return zlib.compress(np.packbits(flags).tobytes(), 1)
+def _chunks(batches: Iterator[pd.DataFrame], key: str, size: int) -> Iterator[pd.DataFrame]:
+    """A partition's rows in chunks of at least ``size``, the same ones on each reading."""
+    held, n = [], 0
+    for pdf in batches:
+        held.append(pdf)
+        n += len(pdf)
+        if n >= size:
+            yield pd.concat(held, ignore_index=True)
+            held, n = [], 0
+    if n:
+        yield pd.concat(held, ignore_index=True)
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), dtype=np.uint8)
+def split_by_bitmap(keyed: DataFrame, key: str = "key", bits_per_row: int = 16, most_bits: int = 1 << 23, chunk: int = 500_000) -> DataFrame:
+    """keyed(..., key), written rows -> the same with ``__maybe``: whether the key may occur more than once (never false for a key that does).
 
-
-def repeat_bitmap(keys: DataFrame, key: str, bits: int) -> list[tuple[int, bytes]]:
-    """(segment, packed bits) of keys that may occur more than once; ``bits`` is a power of two."""
-    per = min(bits, SEGMENT_BITS)
+    A segment has at most ``most_bits`` bits; where the rows need more, keys are dealt to more segments.
+    """
+    spark = keyed.sparkSession
+    need = keyed.count() * bits_per_row
+    bits = bits_for(need, 1, most_bits)
+    segments = max(1, -(-need // bits))
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        whole = pd.concat([pd.Series([], dtype=object), *(pdf[key].map(bytes) for pdf in batches)], ignore_index=True)
-        counts = whole.value_counts()
-        if not len(counts):
-            return
-        places = _places(counts.index.to_series(), bits)
-        seen, twice = np.unique(places), np.unique(places[counts.to_numpy() > 1])
-        rows = []
-        for s in np.unique(seen // per):
-            o, a = np.zeros(per, bool), np.zeros(per, bool)
-            o[seen[np.searchsorted(seen, s * per) : np.searchsorted(seen, (s + 1) * per)] - s * per] = True
-            a[twice[np.searchsorted(twice, s * per) : np.searchsorted(twice, (s + 1) * per)] - s * per] = True
-            rows.append((int(s), _pack(o), _pack(a)))
-            if len(rows) == 64:
-                yield pd.DataFrame(rows, columns=["segment", "once", "again"])
-                rows = []
-        yield pd.DataFrame(rows, columns=["segment", "once", "again"])
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        once, again = np.zeros(per // 8, np.uint8), np.zeros(per // 8, np.uint8)
-        for o, a in zip(pdf["once"], pdf["again"]):
-            o = _unpack(o)
-            again |= _unpack(a) | (once & o)
-            once |= o
-        return pd.DataFrame([(int(pdf["segment"].iloc[0]), zlib.compress(again.tobytes(), 1))], columns=["segment", "again"])
-
-    parts = keys.select(key).mapInPandas(build, "segment long, once binary, again binary")
-    return [(r.segment, bytes(r.again)) for r in parts.groupBy("segment").applyInPandas(merge, "segment long, again binary").toLocalIterator()]
-
-
-def split_by_bitmap(keyed: DataFrame, key: str = "key", bits_per_row: int = 16, most_bits: int = 1 << 28) -> DataFrame:
-    """Adds ``__maybe``: whether the key may occur more than once (never false for a key that does).
-
-    One bitmap has at most ``most_bits`` bits; where the rows need more, the keys are dealt to several bitmaps by their hash.
-    """
-    rows = keyed.count()
-    parts = -(-rows * bits_per_row // most_bits) or 1
-    if parts == 1:
-        return _marked(keyed, key, rows * bits_per_row)
-    part = F.pmod(F.xxhash64(key), F.lit(parts))
-    out = [_marked(keyed.where(part == i), key, most_bits) for i in range(parts)]
-    return reduce(DataFrame.unionByName, out)
-
-
-def _marked(keyed: DataFrame, key: str, least_bits: int) -> DataFrame:
-    bits = 1 << 16
-    while bits < least_bits:
-        bits *= 2
-    shared = keyed.sparkSession.sparkContext.broadcast(repeat_bitmap(keyed, key, bits))
-
-    @F.pandas_udf("boolean")
-    def maybe(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        packed = np.zeros(bits // 8, np.uint8)
-        per = min(bits, SEGMENT_BITS) // 8
-        for segment, raw in shared.value:
-            packed[segment * per : (segment + 1) * per] = _unpack(raw)
-        for keys in batches:
-            if not len(keys):
-                yield pd.Series([], dtype=bool)
-                continue
-            places = _places(keys, bits)
-            hit = (packed[places >> 3] >> (7 - (places & 7))) & 1
-            yield pd.Series(hit.all(axis=1))
-
-    return keyed.withColumn("__maybe", maybe(F.col(key)))
+        part = TaskContext.get().partitionId()
+        for number, pdf in enumerate(_chunks(batches, key, chunk)):
+            x = _Sketch(pdf[key].map(bytes).tolist(), segments, bits)
+            rows = [(s, part, number, x.codes[at].tobytes(), np.packbits(x.again[at]).tobytes()) for s, at in x.parts()]
+            yield pd.DataFrame(rows, columns=["segment", "part", "chunk", "codes", "again"])
+
+    def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        once, again, places = np.zeros(bits, bool), np.zeros(bits, bool), []
+        for codes, repeated in zip(pdf["codes"], pdf["again"]):
+            at = _places(np.frombuffer(codes, np.uint32).reshape(-1, 2), bits)
+            places.append(at)
+            flat = np.unique(at)
+            again[flat] |= once[flat]
+            once[flat] = True
+            again[at[np.unpackbits(np.frombuffer(repeated, np.uint8), count=len(at)).astype(bool)]] = True
+        maybe = [np.packbits(again[at].all(axis=1)).tobytes() for at in places]
+        return pd.DataFrame({"segment": pdf["segment"], "part": pdf["part"], "chunk": pdf["chunk"], "maybe": maybe})
+
+    folder = f"{shared_folder(spark).rstrip('/')}/repeats-{uuid.uuid4().hex}"
+    sketches = keyed.select(key).mapInPandas(build, "segment long, part int, chunk int, codes binary, again binary")
+    answers = sketches.groupBy("segment").applyInPandas(answer, "segment long, part int, chunk int, maybe binary")
+    answers.repartition("part").write.partitionBy("part").parquet(folder)
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        told: dict[tuple[int, int], bytes] = {}
+        for number, pdf in enumerate(_chunks(batches, key, chunk)):
+            told = told or read_answers(folder, TaskContext.get().partitionId())
+            x = _Sketch(pdf[key].map(bytes).tolist(), segments, bits)
+            maybe = np.zeros(len(x.segment), bool)
+            for s, at in x.parts():
+                maybe[at] = np.unpackbits(np.frombuffer(told[number, s], np.uint8), count=at.stop - at.start)
+            yield pdf.assign(__maybe=maybe[x.of_row])
+
+    out = cut(keyed.mapInPandas(mark, StructType([*keyed.schema.fields, StructField("__maybe", BooleanType())])))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return out
+
+
+def read_answers(folder: str, part: int) -> dict[tuple[int, int], bytes]:
+    """(chunk, segment) -> bits, of one partition."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(f"{folder}/part={part}")
+    t = ds.dataset(path, filesystem=system, format="parquet").to_table(columns=["chunk", "segment", "maybe"]).to_pydict()
+    return {(c, s): m for c, s, m in zip(t["chunk"], t["segment"], t["maybe"])}
 
 
 def _first_and_count(rows: DataFrame, key: str, id_col: str, heavy_at: int) -> DataFrame:
@@ -214,7 +233,7 @@ def layout_copies(df: DataFrame, id_col: str, prose: str, sql: str, heavy_at: in
     An empty table gives empty results; equal ids count once; null ids are left out of pairs and counted in records' copies.
     """
     keyed = cut(with_key(df.select(F.col(id_col).alias("id"), F.col(prose).alias("__p"), F.col(sql).alias("__s")), "__p", "__s").select("id", "key"))
-    split = cut(split_by_bitmap(keyed))
+    split = split_by_bitmap(keyed)
     rows = split.where("__maybe")
     heavy = heavy_at or max(10_000, split.count() // 1000)
     members = _first_and_count(rows, "key", "id", heavy)
