@@ -85,7 +85,7 @@ def end_of(text: str, sibling: str | None, values: str | None = None) -> dict:
     numbers a complete text names too."""
     tail = text.rstrip()
     core = _CLOSING.sub("", tail)
-    raw = _last_words(core)
+    raw = last_words(core)
     words = [clean_word(w) for w in raw]
     last = words[-1].lower() if words else ""
     dots = core.endswith(("...", "…")) or core.endswith("..") and last not in SHORT
@@ -121,8 +121,15 @@ def end_of(text: str, sibling: str | None, values: str | None = None) -> dict:
     return out
 
 
-def _last_words(core: str) -> list[str]:
-    return [w for w in core[-160:].split() if clean_word(w)][-6:]
+def last_words(core: str, n: int = 6) -> list[str]:
+    """The last ``n`` tokens that are more than marks, whole ones however long, in order."""
+    out: list[str] = []
+    parts = core.rsplit(None, 1)
+    while parts and len(out) < n:
+        if clean_word(parts[-1]):
+            out.append(parts[-1])
+        parts = parts[0].rsplit(None, 1) if len(parts) == 2 else []
+    return out[::-1]
 
 
 def _end(words: list[str]) -> str:
@@ -150,7 +157,7 @@ def question_of(context: str) -> Column:
 def with_ends(df: DataFrame) -> DataFrame:
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, siblings, named in batches:
-            rows = [(end_of(t, s, v) if t and t.strip() else dict.fromkeys(NAMES)) | lengths_of(t) | {"other": _end([clean_word(w) for w in _last_words(_CLOSING.sub("", v.rstrip()))]) if v else ""} for t, s, v in zip(texts, siblings, named)]
+            rows = [(end_of(t, s, v) if t and t.strip() else dict.fromkeys(NAMES)) | lengths_of(t) | {"other": _end([clean_word(w) for w in last_words(_CLOSING.sub("", v.rstrip()))]) if v else ""} for t, s, v in zip(texts, siblings, named)]
             yield pd.DataFrame(rows, columns=[*NAMES, *UNITS, "other"]).astype(dict.fromkeys(UNITS, "Int64"))
 
     return df.withColumn("e", F.pandas_udf(run, ", ".join([SCHEMA, *[f"{u} int" for u in UNITS], "other string"]))("text", "sibling", "named"))
@@ -176,7 +183,7 @@ def source_limits(lengths: DataFrame) -> DataFrame:
     return sides.where(last | part).select("field_name", "source", "unit", F.col("n").alias("most"))
 
 
-def lost_ends(df: DataFrame, usual: float = 0.001, unusual: float = 0.008) -> DataFrame:
+def lost_ends(df: DataFrame, usual: float = 0.001, unusual: float = 0.008, slack: float = 12.0, heavy: int = 100_000) -> DataFrame:
     """df(field_name, record_id, source, text, sibling, named) -> (field_name, record_id, source, lost).
 
     ``usual``: share of a field's terminated texts that makes an end a usual one outright; ``unusual``: share of its texts without
@@ -188,13 +195,15 @@ def lost_ends(df: DataFrame, usual: float = 0.001, unusual: float = 0.008) -> Da
     lengths = sizes.groupBy("field_name", "source", "x.unit", "x.n").agg(F.count("*").alias("texts"), F.count_if(~F.col("stopped")).alias("open"))
     limits = source_limits(lengths).groupBy("field_name", "source").agg(*[F.collect_set(F.when(F.col("unit") == u, F.col("most"))).alias(f"most_{u}") for u in UNITS])
     whole = ~F.col("missing") & ~F.col("part") & ~F.col("bad")
-    ends = e.where("stopped is not null").groupBy("field_name", "end").agg(F.max("last").alias("last"), F.count_if("stopped").alias("with_stop"), F.count_if(~F.col("stopped") & whole).alias("without"))
+    by_source = cut(e.where("stopped is not null").groupBy("field_name", "source", "end").agg(F.max("last").alias("last"), F.count_if("stopped").alias("with_stop"), F.count_if(~F.col("stopped") & whole).alias("without")))
+    ends = by_source.groupBy("field_name", "end").agg(F.max("last").alias("last"), F.sum("with_stop").alias("with_stop"), F.sum("without").alias("without"))
     totals = ends.groupBy("field_name").agg(F.sum("with_stop").alias("all_with"), F.sum("without").alias("all_without"))
     ends = ends.join(F.broadcast(totals), "field_name")
     # Ends that many texts share: at most 1 / usual for each field.
     strong = (F.col("with_stop") >= F.greatest(F.lit(2), F.col("all_with") * usual)) | (F.col("without") >= F.greatest(F.lit(3), F.col("all_without") * unusual))
     known, accented = {}, {}
-    for r in ends.where(strong).select("field_name", "end").distinct().toLocalIterator():
+    strong_ends = ends.where(strong).select("field_name", "end").distinct().collect()
+    for r in strong_ends:
         for context, word in _gaps(r.end):
             known.setdefault((r.field_name, *context), set()).add(word)
         accented.setdefault((r.field_name, _ACCENTED.sub("", r.end)), set()).add(r.end)
@@ -203,14 +212,27 @@ def lost_ends(df: DataFrame, usual: float = 0.001, unusual: float = 0.008) -> Da
         near = lambda f, end: any(_near(w, known.get((f, *c), ())) for c, w in _gaps(end))
         return pd.Series([near(f, end) or any(_without_accents(end, k) for k in accented.get((f, _ACCENTED.sub("", end)), ())) for f, end in zip(fields, found)], dtype=bool)
 
-    open_ = e.where("not stopped").join(ends.select("field_name", "end", "with_stop", "without", strong.alias("strong")), ["field_name", "end"], "left")
+    # The source's baseline: texts without terminator for each one with, among those with the strong ends (which close whole texts).  An
+    # end is usual where the terminated texts that have it, at their sources' baselines, explain those without (``slack`` times).
+    listed = e.sparkSession.createDataFrame([tuple(r) for r in strong_ends], "field_name string, end string")
+    by_source = by_source.withColumn("source", F.coalesce("source", F.lit("")))
+    told = by_source.join(F.broadcast(listed), ["field_name", "end"], "left_semi").groupBy("field_name", "source").agg(((F.sum("without") + 1) / (F.sum("with_stop") + 1)).alias("odds"))
+    expected = by_source.join(told, ["field_name", "source"], "left")
+    expected = expected.groupBy("field_name", "end").agg(F.sum(F.col("with_stop") * F.coalesce("odds", F.lit(1.0))).alias("expected"))
+    ends = cut(ends.withColumn("strong", strong).join(expected, ["field_name", "end"]))
+    open_ = e.where("not stopped")
+    # Frequent ends (at most rows / heavy of them) are joined by broadcast, so no task gets all texts of one.
+    hot = F.broadcast(ends.where(F.col("with_stop") + F.col("without") > heavy).select("field_name", "end", "with_stop", "without", "strong", "expected"))
+    rest = ends.where(F.col("with_stop") + F.col("without") <= heavy).select("field_name", "end", "with_stop", "without", "strong", "expected")
+    keys = ["field_name", "end"]
+    open_ = open_.join(hot, keys).unionByName(open_.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
     open_ = open_.join(limits, ["field_name", "source"], "left")
-    usual_end = F.coalesce(F.col("strong"), F.lit(False)) | (F.col("with_stop") * 4 >= F.col("without")) & (F.col("with_stop") > 0)
+    usual_end = F.coalesce(F.col("strong"), F.lit(False)) | (F.col("expected") * slack >= F.col("without")) & (F.col("with_stop") > 0)
     usual_end = usual_end | F.pandas_udf(spelled, "boolean")("field_name", "end")
     at_limit = F.coalesce(reduce(Column.__or__, [F.array_contains(f"most_{u}", F.col(u)) for u in UNITS]), F.lit(False))
     # A usual last word that in further contexts, too, closes as many terminated texts as others (a closing thanks) is usual after any.
-    further = ends.where(~strong).groupBy("field_name", "last").agg(F.sum("with_stop").alias("closing"), F.sum("without").alias("not_closing"), F.count_if(F.col("with_stop") > 0).alias("contexts"))
-    further = further.where("contexts >= 5 and closing >= not_closing").join(ends.where(strong).select("field_name", "last").distinct(), ["field_name", "last"], "left_semi")
+    further = ends.where("not strong").groupBy("field_name", "last").agg(F.sum("with_stop").alias("closing"), F.sum("without").alias("not_closing"), F.count_if(F.col("with_stop") > 0).alias("contexts"))
+    further = further.where("contexts >= 5 and closing >= not_closing").join(ends.where("strong").select("field_name", "last").distinct(), ["field_name", "last"], "left_semi")
     open_ = open_.join(F.broadcast(further.select("field_name", "last", F.lit(True).alias("closes"))), ["field_name", "last"], "left")
     usual_end = usual_end | F.col("closes").isNotNull()
     # A text as long as a limit is complete where its record's other text closes with what goes with its end in terminated texts (three
