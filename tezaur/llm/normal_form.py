@@ -19,6 +19,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 # Letters of Cyrillic and Greek and the Latin letters they look like.
 LOOK_ALIKE = dict(
     zip(
@@ -28,6 +30,7 @@ LOOK_ALIKE = dict(
 )
 # Fixed values: (starter, mark as found, mark of the Romanian letter).
 ROMANIAN = [(c, "̧", "̦") for c in "sStT"] + [(c, "̌", "̆") for c in "aA"]
+SALT = 64
 KEPT_BLANKS = "\t\n\x0b\x0c\r\x85   "
 
 
@@ -155,9 +158,14 @@ def consistent_form(df: DataFrame, text: str, out: str = "form") -> DataFrame:
     suspect = F.coalesce(~F.col(text).rlike(f"\\A{inert}*+\\z"), F.lit(False))
     keyed = df.withColumn(k, F.when(suspect, F.md5(F.col(text))))
     some = keyed.where(F.col(k).isNotNull()).select(k, F.col(text).alias(t)).dropDuplicates([k])
-    places = some.select(k, F.posexplode(F.split(t, " ")).alias("place", "token")).where(~F.col("token").rlike(f"\\A{inert}*+\\z"))
-    changed = token_forms(places.select("token").distinct()).where(F.col("token") != F.col("form"))
-    at = places.join(changed, "token").groupBy(k).agg(F.map_from_entries(F.collect_list(F.struct("place", "form"))).alias(forms))
+    places = cut(some.select(k, F.posexplode(F.split(t, " ")).alias("place", "token")).where(~F.col("token").rlike(f"\\A{inert}*+\\z")))
+    changed = cut(token_forms(places.select("token").distinct()).where(F.col("token") != F.col("form")))
+    if changed.count() <= 200_000:
+        hits = places.join(F.broadcast(changed), "token")
+    else:  # a frequent token is spread over ``SALT`` tasks
+        salted = changed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        hits = places.withColumn("salt", F.pmod(F.xxhash64(k), F.lit(SALT)).cast("int")).join(salted, ["token", "salt"])
+    at = hits.groupBy(k).agg(F.map_from_entries(F.collect_list(F.struct("place", "form"))).alias(forms))
     joined = keyed.join(at, k, "left")
     rebuilt = F.array_join(F.transform(F.split(text, " "), lambda w, i: F.coalesce(F.try_element_at(F.col(forms), i), w)), " ")
     return joined.withColumn(out, F.when(F.col(forms).isNull(), F.col(text)).otherwise(rebuilt)).drop(k, forms)
