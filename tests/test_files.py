@@ -56,15 +56,15 @@ def test_prepare(spark, tmp_path):
     q = write(tmp_path / "q.jsonl", [record(), "{bad", "", record(instruction=" "), record(system=" ", metadata=None, task="user"), record(id="late")])
     o = write(tmp_path / "o.jsonl", [record(output="DELETE FROM t ")])
     g = write(tmp_path / "g.jsonl", [record(metadata={"id": "own", "source_dataset": "x"}), record(input=None)])
-    m = files.prepare(spark, g, q, o, str(tmp_path / "out"), limit=2)
-    assert m["stats"] == {"external_queries": {"read": 4, "written": 2, "dropped": 2}, "external_operators": {"read": 1, "written": 1, "dropped": 0}, "external_all_rows": 3, "rogov": {"read": 2, "written": 2, "dropped": 0}}
+    m = files.prepare(spark, g, q, o, str(tmp_path / "out"), limit=2, own="made", own_source="made_here", prefix="x_")
+    assert m["stats"] == {"external_queries": {"read": 4, "written": 2, "dropped": 2}, "external_operators": {"read": 1, "written": 1, "dropped": 0}, "external_all_rows": 3, "made": {"read": 2, "written": 2, "dropped": 0}}
     rows = read(m["outputs"]["external_all"])
     assert [r["output"] for r in rows] == ["SELECT a FROM t", "SELECT a FROM t", "DELETE FROM t"] and rows[1]["system"] == files.PREPARE_SYSTEM
     assert list(rows[0]["metadata"].items()) == [("z", 1), ("a", "ă"), ("id", "r"), ("source_dataset", "external_queries")] and rows[1]["metadata"] == {"id": "r", "task": "user", "source_dataset": "external_queries"}
-    own = read(m["outputs"]["rogov"])
-    assert own[0]["metadata"] == {"id": "own", "source_dataset": "rogov_generated"} and own[1]["input"] == "None"
+    own = read(m["outputs"]["made"])
+    assert own[0]["metadata"] == {"id": "own", "source_dataset": "made_here"} and own[1]["input"] == "None"
     info = json.loads((tmp_path / "out" / "dataset_info.json").read_text())
-    assert info["nlsqlro_external_all_sft"] == {"file_name": "external_all.alpaca.jsonl", "formatting": "alpaca", "columns": {"prompt": "instruction", "query": "input", "response": "output", "system": "system"}}
+    assert info["x_external_all_sft"] == {"file_name": "external_all.alpaca.jsonl", "formatting": "alpaca", "columns": {"prompt": "instruction", "query": "input", "response": "output", "system": "system"}}
     (tmp_path / "empty.jsonl").write_text("")
     with pytest.raises(ValueError):
         files.prepare(spark, str(tmp_path / "empty.jsonl"), q, o, str(tmp_path / "out"))

@@ -40,6 +40,9 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--single", action="store_true")
     a = add("prepare", "write training files, their registry and manifest", "generated", "queries", "operators", "out")
     a.add_argument("--limit", type=int)
+    a.add_argument("--own", default="generated", help="name of the generated corpus")
+    a.add_argument("--own-source", help="source that its records name")
+    a.add_argument("--prefix", default="", help="before the names of the registry")
     a.add_argument("--single", action="store_true")
     a = add("merge", "merge shard folders in the order of their index", "out")
     a.add_argument("--shards", nargs="+")
@@ -101,7 +104,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "clean":
         out = files.clean_folder(spark, args.source, args.out, args.strict_sql_type, not args.no_validate_sql, args.max_lines, args.single)
     elif args.command == "prepare":
-        out = files.prepare(spark, args.generated, args.queries, args.operators, args.out, args.limit, args.single)
+        out = files.prepare(spark, args.generated, args.queries, args.operators, args.out, args.limit, args.single, args.own, args.own_source, args.prefix)
     elif args.command == "merge":
         out = files.merge_shards(spark, args.shards, args.out, args.root, args.pattern, args.single)
     elif args.command == "evaluate":

@@ -15,16 +15,20 @@ from ..functions.text import strip
 MASTER = ["id", "task", "domain", "db_id", "question_en", "question_ro", "sql", "difficulty", "query_type", "tables", "row_count", "validation_flags", "expected_result_description_en", "notes"]
 
 
+# Sentences of the formats, by task.
+ASK_OPERATOR = ("Write one valid SQLite operator statement for database '", "' (INSERT/UPDATE/DELETE/CREATE/ALTER/DROP). Return SQL only.")
+ASK_USER = ("Write a valid read-only SQLite SQL query for database '", "' (SELECT/WITH). Return SQL only.")
+SYSTEM_OPERATOR = "You generate SQLite operator statements for Romanian NL-to-SQL tasks. Use DML/DDL only and return only SQL."
+SYSTEM_USER = "You generate SQLite read-only queries for Romanian NL-to-SQL tasks. Use SELECT/WITH only and return only SQL."
+
+
 def instruction() -> Column:
-    operator = F.concat(F.lit("Write one valid SQLite operator statement for database '"), F.col("db_id"), F.lit("' (INSERT/UPDATE/DELETE/CREATE/ALTER/DROP). Return SQL only."))
-    user = F.concat(F.lit("Write a valid read-only SQLite SQL query for database '"), F.col("db_id"), F.lit("' (SELECT/WITH). Return SQL only."))
-    return F.when(F.col("task") == "operator", operator).otherwise(user)
+    asked = lambda parts: F.concat(F.lit(parts[0]), F.col("db_id"), F.lit(parts[1]))
+    return F.when(F.col("task") == "operator", asked(ASK_OPERATOR)).otherwise(asked(ASK_USER))
 
 
 def system_message() -> Column:
-    return F.when(F.col("task") == "operator", "You generate SQLite operator statements for Romanian NL-to-SQL tasks. Use DML/DDL only and return only SQL.").otherwise(
-        "You generate SQLite read-only queries for Romanian NL-to-SQL tasks. Use SELECT/WITH only and return only SQL."
-    )
+    return F.when(F.col("task") == "operator", SYSTEM_OPERATOR).otherwise(SYSTEM_USER)
 
 
 def metadata() -> Column:

@@ -125,28 +125,29 @@ def training_lines(lines: DataFrame, source: str, default_system: str = PREPARE_
     return rows.withColumn("written", F.col("__made").isNotNull()).withColumn("value", F.col("__made")).drop("__made")
 
 
-def prepare(spark: SparkSession, generated: str, queries: str, operators: str, target: str, limit: int | None = None, single: bool = False) -> dict:
-    """Training files of a generated corpus and of an external one (by track and together), their registry and manifest."""
-    paths = {"external_queries": _there(queries), "external_operators": _there(operators), "rogov": _there(generated)}
+def prepare(spark: SparkSession, generated: str, queries: str, operators: str, target: str, limit: int | None = None, single: bool = False, own: str = "generated", own_source: str | None = None, prefix: str = "") -> dict:
+    """Training files of a generated corpus and of an external one (by track and together), their registry and manifest.  ``own`` and
+    ``own_source`` name the generated corpus and its records' source, ``prefix`` goes before the names of the registry."""
+    paths = {"external_queries": _there(queries), "external_operators": _there(operators), own: _there(generated)}
     if Path(generated).is_file() and not Path(generated).stat().st_size:
         raise ValueError(f"empty input file: {generated}")
     stats, parts = {}, []
     for place, (name, path) in enumerate(paths.items()):
-        source = "rogov_generated" if name == "rogov" else name
+        source = (own_source or own) if name == own else name
         rows = cut(training_lines(numbered_lines(spark, path), source).withColumn("place", F.lit(place)).withColumn("source", F.lit(source)))
         rows = first_written(rows, "line_no", "written", limit)
         counted = file_counts(rows, "source", "written").where("source <> 'all'").first()
         stats[name] = {k: (counted[k] if counted else 0) for k in ("read", "written", "dropped")}
         written = rows.where("written").select("place", "file", "line_no", "value")
         write_lines(written, f"{target}/{name}.alpaca.jsonl", ["file", "line_no"], single)
-        if name != "rogov":
+        if name != own:
             parts.append(written)
     write_lines(parts[0].unionByName(parts[1]), f"{target}/external_all.alpaca.jsonl", ["place", "file", "line_no"], single)
-    outputs = {n: f"{target}/{n}.alpaca.jsonl" for n in ("external_queries", "external_operators", "external_all", "rogov")}
-    info = {f"nlsqlro_{n}_sft": {"file_name": Path(p).name, "formatting": "alpaca", "columns": exports.registry({n: p})[n]["columns"]} for n, p in outputs.items()}
+    outputs = {n: f"{target}/{n}.alpaca.jsonl" for n in ("external_queries", "external_operators", "external_all", own)}
+    info = {f"{prefix}{n}_sft": {"file_name": Path(p).name, "formatting": "alpaca", "columns": exports.registry({n: p})[n]["columns"]} for n, p in outputs.items()}
     exports.write_json(f"{target}/dataset_info.json", info)
-    stats = {"external_queries": stats["external_queries"], "external_operators": stats["external_operators"], "external_all_rows": stats["external_queries"]["written"] + stats["external_operators"]["written"], "rogov": stats["rogov"]}
-    manifest = {"inputs": {**{k: paths[k] for k in ("rogov", "external_queries", "external_operators")}, "limit_per_file": limit}, "outputs": outputs | {"dataset_info": f"{target}/dataset_info.json"}, "stats": stats}
+    stats = {"external_queries": stats["external_queries"], "external_operators": stats["external_operators"], "external_all_rows": stats["external_queries"]["written"] + stats["external_operators"]["written"], own: stats[own]}
+    manifest = {"inputs": {**{k: paths[k] for k in (own, "external_queries", "external_operators")}, "limit_per_file": limit}, "outputs": outputs | {"dataset_info": f"{target}/dataset_info.json"}, "stats": stats}
     exports.write_json(f"{target}/manifest_prep.json", manifest)
     return manifest
 

@@ -53,6 +53,7 @@ def last_of(c: Column, n: int = 5) -> Column:
 def generation_prompt(domain: Column, task: Column, difficulty: Column, min_rows: Column, strict: Column, feedback: Column, schema: Column) -> Column:
     t, last = task_of(task), last_of(feedback)
     block = F.when(F.size(feedback) > 0, F.concat(F.lit("\nPrevious validation feedback:\n"), F.array_join(F.transform(last, lambda x: F.concat(F.lit("- "), x)), "\n"), F.lit("\n"))).otherwise("")
+    # The texts of this prompt and of the next one.
     return F.concat(
         F.lit('Generate one training item for domain "'), domain, F.lit('".\nTask: '), t, F.lit("\nDifficulty target: "), difficulty.cast("string"), F.lit("\n"), rules(t, min_rows, strict),
         F.lit('\n\nUse SQLite SQL and only tables/columns from schema below.\nNo comments.\n\nOutput JSON format:\n{\n  "task": "'), t,

@@ -433,8 +433,8 @@ def source_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return file_counts(table(spark, sf_dir, "queries_alpaca_ro").withColumn("w", w), "source_dataset", "w")
 
 
-_ASK = """CASE WHEN task = 'operator' THEN 'Write one valid SQLite operator statement for database ''' || db_id || ''' (INSERT/UPDATE/DELETE/CREATE/ALTER/DROP). Return SQL only.'
-ELSE 'Write a valid read-only SQLite SQL query for database ''' || db_id || ''' (SELECT/WITH). Return SQL only.' END"""
+_ASKED = {k: "'" + parts[0].replace("'", "''") + "' || db_id || '" + parts[1].replace("'", "''") + "'" for k, parts in (("operator", exports.ASK_OPERATOR), ("user", exports.ASK_USER))}
+_ASK = f"CASE WHEN task = 'operator' THEN {_ASKED['operator']} ELSE {_ASKED['user']} END"
 
 
 @query(f"""SELECT id, task, {_ASK} AS instruction, md5('Task: ' || coalesce(task, 'null') || chr(10) || 'Romanian question: ' || coalesce(question_ro, 'null') || chr(10) || 'English question: ' || coalesce(question_en, 'null')) AS input, md5(sql) AS output, difficulty FROM generated_example""")
@@ -444,8 +444,8 @@ def alpaca_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.select("id", "task", "instruction", F.md5("input").alias("input"), F.md5("output").alias("output"), "metadata.difficulty")
 
 
-@query("""SELECT id, unnest(['system', 'user', 'assistant']) AS role, unnest([CASE WHEN task = 'operator' THEN 'You generate SQLite operator statements for Romanian NL-to-SQL tasks. Use DML/DDL only and return only SQL.'
-ELSE 'You generate SQLite read-only queries for Romanian NL-to-SQL tasks. Use SELECT/WITH only and return only SQL.' END, md5('Task: ' || coalesce(task, 'null') || chr(10) || 'Database: ' || db_id || chr(10) || 'Question (RO): ' || question_ro || chr(10) || 'Question (EN): ' || question_en), md5(sql)]) AS content FROM generated_example""")
+@query(f"""SELECT id, unnest(['system', 'user', 'assistant']) AS role, unnest([CASE WHEN task = 'operator' THEN '{exports.SYSTEM_OPERATOR}' ELSE '{exports.SYSTEM_USER}' END,
+md5('Task: ' || coalesce(task, 'null') || chr(10) || 'Database: ' || db_id || chr(10) || 'Question (RO): ' || question_ro || chr(10) || 'Question (EN): ' || question_en), md5(sql)]) AS content FROM generated_example""")
 def chat_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: records as chat turns."""
     c = exports.chat(table(spark, sf_dir, "generated_example")).select("id", F.explode("messages").alias("m"))

@@ -17,27 +17,22 @@ _INSERT = re.compile(r'INSERT\s+INTO\s+["`\[]?(\w+)["`\]]?\s*(?:\(([^)]*)\))?\s*
 _CONSTRAINTS = {"PRIMARY", "FOREIGN", "UNIQUE", "CHECK", "CONSTRAINT"}
 
 
+_LEXEME = re.compile(r"""'(?:[^']|'')*'?|"(?:[^"]|"")*"?|`(?:[^`]|``)*`?|--[^\n]*|;""")
+
+
 def statements(text: str) -> Iterator[str]:
-    """Statements of a script; semicolons, quotes and comment marks inside literals do not count."""
-    start, i, n = 0, 0, len(text)
-    while i < n:
-        c = text[i]
-        if c in "'\"`":
-            i += 1
-            while i < n and not (text[i] == c and text[i + 1 : i + 2] != c):
-                i += 2 if text[i] == c else 1
-        elif text.startswith("--", i):
-            end = text.find("\n", i)
-            end = n if end < 0 else end
-            text = text[:i] + " " * (end - i) + text[end:]
-            i = end
-        elif c == ";":
-            if text[start:i].strip():
-                yield text[start:i].strip()
-            start = i + 1
-        i += 1
-    if text[start:].strip():
-        yield text[start:].strip()
+    """Statements of a script; semicolons, quotes and comment marks inside literals do not count, comments become blanks."""
+    parts, start = [], 0
+    for m in _LEXEME.finditer(text):
+        if m[0] == ";" or m[0].startswith("--"):
+            parts.append(text[start : m.start()])
+            start = m.end()
+        if m[0] == ";":
+            if whole := " ".join(parts).strip():
+                yield whole
+            parts = []
+    if whole := " ".join([*parts, text[start:]]).strip():
+        yield whole
 
 
 def split_top(text: str) -> list[str]:
