@@ -60,6 +60,8 @@ def test_found_and_sanitised(spark):
     assert got == want
     texts = {r.doc_id: r.text for r in P.sanitised(df).collect()}
     assert texts[100] == "colegul meu [NAME] zice altceva" and texts[101] == data[81][1] and texts[102] is None and texts[103] == ""
+    many = {(r.id, i.pii_type, i.start) for r in P.find_items(df, heavy=1).collect() for i in r["items"]}
+    assert many == want  # a repeated text counts as a frequent one
     assert texts[104] == texts[0] and "[EMAIL] acum, Lunca Sud" in texts[0]
 
 

@@ -238,7 +238,7 @@ class Reader:
 
 _NO_NAMES = TITLES - {"m", "d"}
 ITEM = "struct<pii_type:string,start:int,size:int,shape:string,term:string,sure:boolean,near:boolean,label:boolean>"
-SCHEMA = f"key binary, items array<{ITEM}>, names array<struct<start:int,size:int,first:string,second:string,left:string,shouted:boolean>>, t string, n long"
+SCHEMA = f"key binary, copies long, items array<{ITEM}>, names array<struct<start:int,size:int,first:string,second:string,left:string,shouted:boolean>>, t string, n long"
 
 
 class _Folded(dict):
@@ -259,16 +259,17 @@ def fold(text: str) -> str:
 
 
 def _readings(docs: DataFrame) -> DataFrame:
-    """docs(key, text) -> (key, items, names) of each text, and (t, n): partial sums of what is counted."""
+    """docs(key, text, copies) -> (key, copies, items, names) of each text, and (t, n): partial sums of what is counted."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         read = Reader()
         for pdf in batches:
             told: Counter = Counter()
-            rows = [(key, *read(text, told), None, None) for key, text in zip(pdf["key"], pdf["text"])]
-            yield pd.DataFrame(rows + [(None, None, None, t, n) for t, n in told.items()], columns=["key", "items", "names", "t", "n"])
+            rows = [(key, copies, *read(text, told), None, None) for key, text, copies in zip(pdf["key"], pdf["text"], pdf["copies"])]
+            rows += [(None, None, None, None, t, n) for t, n in told.items()]
+            yield pd.DataFrame(rows, columns=["key", "copies", "items", "names", "t", "n"]).astype({"copies": "Int64", "n": "Int64"})
 
-    return docs.select("key", "text").mapInPandas(run, SCHEMA)
+    return docs.select("key", "text", "copies").mapInPandas(run, SCHEMA)
 
 
 def given_key(first):
@@ -316,18 +317,18 @@ def disclosure(readings: DataFrame, counted: DataFrame, bits: float, context_sha
     return known.unionByName(contexts.select(F.col("c").alias("key"), (F.col("k") / F.col("n")).alias("bits")))
 
 
-def find_items(df: DataFrame, id_col: str = "doc_id", text: str = "text", bits: float = 1.5, shape_bits: float = 0.5, context_share: float = 0.8, context_count: int = 3) -> DataFrame:
+def find_items(df: DataFrame, id_col: str = "doc_id", text: str = "text", bits: float = 1.5, shape_bits: float = 0.5, context_share: float = 0.8, context_count: int = 3, heavy: int = 100_000) -> DataFrame:
     """(id, items array<struct<pii_type, start, size>>) of every row, starts counted in characters from 1.
 
     Null and empty texts have no items.  Equal texts are read once.  ``bits`` is the disclosure threshold of terms, ``shape_bits`` that of
     shapes; a left context counts where terms beyond it follow in ``context_share`` of at least ``context_count`` cases.
     """
     keyed = df.select(F.col(id_col).alias("id"), F.col(text).alias("text")).withColumn("key", F.when(F.length("text") > 0, F.unhex(F.md5("text"))))
-    texts = keyed.where("key is not null").select("key", "text").dropDuplicates(["key"])
+    texts = keyed.where("key is not null").groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     readings = cut(_readings(texts))
     counted = cut(readings.where("t is not null").groupBy("t").agg(F.sum("n").alias("n")))
     known = cut(disclosure(readings, counted, bits, context_share, context_count).unionByName(shape_disclosure(readings, counted, bits, shape_bits)))
-    some = readings.where("key is not null and (size(names) > 0 or size(items) > 0)").select("key", "items", "names")
+    some = readings.where("key is not null and (size(names) > 0 or size(items) > 0)").select("key", "copies", "items", "names")
     of_name = lambda x: F.array(given_key(x["first"]), family_key(x["second"]), given_key(x["second"]), F.concat(F.lit("c:"), x["left"]))
     asked = F.array_distinct(F.concat(F.flatten(F.transform("names", of_name)), F.transform("items", lambda x: x["shape"]), F.transform("items", lambda x: x["term"])))
     n = known.count()
@@ -344,9 +345,14 @@ def find_items(df: DataFrame, id_col: str = "doc_id", text: str = "text", bits:
         for items, names, known in batches:
             yield pd.Series([_chosen(i, n, everything.value if everything else frozenset(k if k is not None else ())) for i, n, k in zip(items, names, known)], dtype=object)
 
-    full = joined.select("key", F.pandas_udf(choose, "array<struct<pii_type:string,start:int,size:int>>")("items", "names", "known").alias("items"))
-    full = full.where("size(items) > 0")
-    return keyed.join(full, "key", "left").select("id", "text", F.coalesce("items", F.array().cast("array<struct<pii_type:string,start:int,size:int>>")).alias("items"))
+    full = cut(joined.select("key", "copies", F.pandas_udf(choose, "array<struct<pii_type:string,start:int,size:int>>")("items", "names", "known").alias("items")))
+    # Texts that more than ``heavy`` rows repeat (at most rows / heavy of them) are joined by broadcast; their rows then go by a key of
+    # their own, so no task gets all of one.
+    hot = full.where(F.col("copies") > heavy).select("key", F.col("items").alias("__hot"))
+    cold = full.where((F.col("copies") <= heavy) & (F.size("items") > 0)).select(F.col("key").alias("__k"), "items")
+    own = F.unhex(F.md5(F.concat(F.lit("own "), F.coalesce(F.col("id").cast("string"), F.lit("")))))
+    marked = keyed.join(F.broadcast(hot), "key", "left").withColumn("__k", F.when(F.col("__hot").isNull() & F.col("key").isNotNull(), F.col("key")).otherwise(own))
+    return marked.join(cold, "__k", "left").select("id", "text", F.coalesce("__hot", "items", F.array().cast("array<struct<pii_type:string,start:int,size:int>>")).alias("items"))
 
 
 def _chosen(items, names, known: frozenset[str]) -> list[dict]:
