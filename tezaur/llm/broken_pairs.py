@@ -1,9 +1,10 @@
 """Instruction-response pairs whose response is no answer.
 
-Method: a naive Bayes model of character trigrams gives the language posteriors of prompt and response; a response in prose of another
-language than its prompt is a defect.  Ends of responses (their last words) are counted over the corpus; an end that finished responses
-hardly ever have is a truncation, as are an open bracket, quote or code fence and values of the question that the statement no
-longer reaches.  Empty responses, refusals and copies of the request are told by their text.
+Method: naive Bayes models of character trigrams give the language posteriors of prompt and response, and tell sentences that decline from
+sentences that answer.  A response in prose of another language than its prompt is a defect; one all of whose sentences decline is a
+refusal, whatever its length.  Ends of responses (their last words) are counted over the corpus; an end that finished responses hardly
+ever have is a truncation, as are an open bracket, quote or code fence and values of the question that the statement no longer reaches.
+Empty responses and copies of the request are told by their letters.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
-from .lost_ends import clean_word, left_open, skeleton
+from .lost_ends import clean_word, last_words, left_open, skeleton
 
 BUCKETS = 1 << 15
 
@@ -36,17 +37,25 @@ SEEDS = {
 }
 LANGUAGES = list(SEEDS)
 
-# Phrases that decline, and the words that stand for nothing.
-DECLINES = re.compile(
-    r"""\b(?:nu\ pot\ (?:sa|oferi|ajuta|raspunde|genera|scrie|continua|face|da)|nu\ am\ (?:voie|cum|permisiunea|dreptul)|nu\ sunt\ in\ masura|nu\ (?:va|te)\ pot|nu\ raspund|nu\ este\ posibil\ sa|
-    ca\ (?:model\ de\ limbaj|asistent|inteligenta)|as\ prefera\ sa\ nu|prefer\ sa\ nu|refuz|imi\ este\ (?:permis|interzis)|imi\ pare\ rau|scuze|din\ pacate|regret|
-    i\ ?(?:'?m)?\ ?(?:am\ )?(?:sorry|unable|not\ able|afraid)|(?:i|we)\ (?:can'?t|cannot|can\ not|won'?t|will\ not|am\ not|must\ decline)|unable\ to|against\ my|no\ query\ will|sorry|unfortunately|as\ an\ ai|language\ model|
-    je\ (?:ne\ (?:peux|suis)|suis\ desole|regrette)|desole|malheureusement|en\ tant\ qu|
-    (?:ich|leider)\ (?:kann|darf|bin|muss)|tut\ mir\ leid|leider|als\ (?:ki|sprachmodell)|
-    mi\ dispiace|non\ posso|purtroppo|lo\ siento|no\ puedo|no\ soy\ capaz|lamentablemente|
-    sajn|nem\ (?:tudok|tudom|all\ modomban|segithetek|valaszolhatok)|nao\ posso|infelizmente|przykro|nie\ moge|niestety)""",
-    re.VERBOSE,
-)
+# Seed texts that decline, in each of the languages.
+DECLINING = {
+    "ro": "Îmi pare rău, dar nu pot să răspund la această întrebare. Nu am voie să scriu interogarea cerută. Din păcate nu pot ajuta cu solicitarea aceasta. Nu sunt în măsură să generez răspunsul. Refuz să continui. Nu îmi este permis să ofer asistență, deoarece informațiile nu îmi sunt accesibile. Prefer să nu mă pronunț. Te rog reformulează cererea sau adresează-te altcuiva. Scuze, nu știu să rezolv sarcina. Ca model de limbaj nu am cum să răspund la cerința primită. Ca asistent virtual nu ofer acest tip de răspuns fără mai multe detalii. Regret, cererea depășește limitele mele.",
+    "en": "I am sorry, but I cannot help with that request. I can't write this query. Unfortunately I am unable to complete the task. As an AI language model I won't be able to answer without access to the data. I must decline, it goes against my guidelines and no answer will be given. Please rephrase your question or ask someone else. Sorry, I do not have the permission to continue. I am unable to produce SQL code for this schema. I'm afraid I can not assist, because the information is not available to me at this time.",
+    "fr": "Je suis désolé, mais je ne peux pas répondre à cette demande. Je ne suis pas en mesure de vous aider. Malheureusement, je ne peux pas écrire cette requête. En tant que modèle de langage, je refuse de continuer. Veuillez reformuler votre question, car je n'ai pas accès à ces informations.",
+    "de": "Es tut mir leid, aber ich kann diese Anfrage nicht beantworten. Leider darf ich dabei nicht helfen. Ich bin nicht in der Lage, das zu schreiben. Als Sprachmodell kann ich diese Aufgabe nicht erledigen. Bitte formulieren Sie die Frage neu, da mir die Daten nicht zur Verfügung stehen.",
+    "it": "Mi dispiace, ma non posso rispondere a questa richiesta. Purtroppo non sono in grado di aiutare. Come modello linguistico non posso continuare. Riformula la domanda, perché i dati non mi sono disponibili.",
+    "es": "Lo siento, pero no puedo responder a esta solicitud. Lamentablemente no soy capaz de ayudar. Como modelo de lenguaje no puedo continuar. Reformula la pregunta, porque los datos no están disponibles para mí.",
+    "pt": "Desculpe, mas não posso responder a este pedido. Infelizmente não sou capaz de ajudar. Como modelo de linguagem não posso continuar. Reformule a pergunta, porque os dados não estão disponíveis para mim.",
+    "hu": "Sajnálom, de nem tudok válaszolni erre a kérésre. Sajnos nem áll módomban segíteni. Nyelvi modellként nem folytathatom. Kérem, fogalmazza át a kérdést, mert az adatok nem érhetők el számomra.",
+    "pl": "Przykro mi, ale nie mogę odpowiedzieć na tę prośbę. Niestety nie jestem w stanie pomóc. Jako model językowy nie mogę kontynuować. Proszę przeformułować pytanie, ponieważ dane nie są dla mnie dostępne.",
+}
+# What the answers' seeds have besides: how explanations of a statement speak.
+EXPLAINING = {
+    "ro": " Pe scurt, iată ce face comanda. Practic, aflăm care este situația dintr-un loc comparată cu cea din altul. Filtrul lasă afară valorile prea mici sau prea mari. Condițiile cer ca rândul să fie dintr-un anumit loc. Nu pot apărea valori fără legătură, deoarece unirea este interioară. Trenul pleacă de acum la ora nouă.",
+    "en": " In short, here is what the command does. In practice we learn how one place compares with another. The filter leaves out values that are too small or too large. Values without a match cannot appear, because the join is an inner one.",
+}
+_SENTENCE = re.compile(r"(?<=[.!?;])\s+|\n+")
+# Fixed value: the words that stand for nothing.
 NOTHING = set("none null nil nan na n a n/a undefined empty nothing nimic niciunul gol fara vid void missing unknown necunoscut tbd todo nedefinit indisponibil lipsa lipseste".split())
 SQL_START = re.compile(r"(?i)(?:select|insert\s+into|update\s+\w+\s+set|delete\s+from|create\s+(?:table|view|index|temp)|alter\s+table|drop\s+(?:table|view|index)|with\s+\w+\s+as|replace\s+into)\b")
 SQL_ANY = re.compile(r"(?:^|\n|:\s)\s*(?:" + SQL_START.pattern.removeprefix("(?i)") + ")", re.IGNORECASE)
@@ -89,6 +98,30 @@ def fit(prompts: list[str]) -> np.ndarray:
     return np.log(counts / counts.sum(axis=1, keepdims=True))
 
 
+def fit_stance() -> np.ndarray:
+    """Log probabilities (buckets x languages, first of declining, then of answering texts)."""
+    out = []
+    for seeds in (DECLINING, {k: v + EXPLAINING.get(k, "") for k, v in SEEDS.items()}):
+        for name in LANGUAGES:
+            counts = np.full(BUCKETS, 0.05)
+            np.add.at(counts, buckets(seeds[name]), 1.0)
+            out.append(np.log(counts / counts.sum()))
+    return np.ascontiguousarray(np.stack(out, axis=1))
+
+
+def declines(text: str, stance: np.ndarray) -> bool:
+    """Whether every sentence (of letters) leans to declining, each by the language that fits it best."""
+    any_ = False
+    for sentence in _SENTENCE.split(text):
+        b = buckets(sentence)
+        if len(b) > 2:
+            score = stance[b].sum(axis=0)
+            if score[: len(LANGUAGES)].max() <= score[len(LANGUAGES) :].max():
+                return False
+            any_ = True
+    return any_
+
+
 def posteriors(text: str, model: np.ndarray) -> np.ndarray:
     b = buckets(text)
     score = model[:, b].sum(axis=1) if len(b) else np.zeros(len(LANGUAGES))
@@ -102,18 +135,19 @@ def keys(text: str) -> tuple[str, str]:
 
 
 def is_copy(response: str, request: str) -> bool:
+    """The request's letters again, or after a lead-in that is shorter than the request."""
     for mine, theirs in zip(keys(response), keys(request)):
-        if len(theirs) >= 8 and (mine == theirs or mine.endswith(theirs) and len(mine) - len(theirs) <= 30):
+        if theirs and (mine == theirs or mine.endswith(theirs) and len(mine) < 2 * len(theirs)):
             return True
     return False
 
 
 def first_question_line(context: str | None) -> str:
-    """The first line of the question in an input: after the last blank line, past the label line."""
+    """The first line of the question in an input: after the first blank line, past the label line."""
     if not context:
         return ""
     rest = context.split("\n\n", 1)[-1].strip().split("\n")
-    if len(rest) > 1 and len(rest[0]) < 40 and rest[0].rstrip().endswith(":"):
+    if len(rest) > 1 and rest[0].rstrip().endswith(":"):
         rest = rest[1:]
     return rest[0] if rest else ""
 
@@ -121,7 +155,7 @@ def first_question_line(context: str | None) -> str:
 NONE = {"defect": None, "end": None, "stopped": None, "kind": None, "short": None}
 
 
-def judge(instruction: str | None, context: str | None, output: str | None, model: np.ndarray) -> dict:
+def judge(instruction: str | None, context: str | None, output: str | None, model: np.ndarray, stance: np.ndarray) -> dict:
     text = "" if output is None else output
     bare = _FENCE.sub("", text).replace("```", "")
     letters = re.sub(r"[\W_]+", " ", fold(bare)).strip()
@@ -134,9 +168,7 @@ def judge(instruction: str | None, context: str | None, output: str | None, mode
     code = "\n".join(x for x in bare.split("\n") if not x.strip().startswith("--"))
     sql = SQL_ANY.search(code) or _SHOUTED.match(code)
     if not sql:
-        folded = " ".join(fold(bare).replace("’", "'").split())
-        short = len(folded) < 220
-        if short and DECLINES.search(folded) and "dar iata" not in folded and not re.search(r"\b(?:interogarea|tabelele|timetables|schools)\b.*\.", folded):
+        if declines(bare, stance):
             return NONE | {"defect": "refusal"}
         p = posteriors(bare, model)
         if p[0] < 0.5:
@@ -144,8 +176,7 @@ def judge(instruction: str | None, context: str | None, output: str | None, mode
             if asked[0] >= p[0]:
                 return NONE | {"defect": "language"}
         tail = text.strip()
-        words = [clean_word(w) for w in tail[-160:].split()]
-        words = [w for w in words if w]
+        words = [clean_word(w) for w in last_words(tail)]
         core = tail.rstrip("\"'”»)*_` \n")
         dots = core.endswith(("...", "…"))
         stopped = core[-1:] in (".", "?", "!") and not dots
@@ -178,11 +209,11 @@ def broken_pairs(df: DataFrame, instruction: str, context: str, output: str, id_
     spark = df.sparkSession
     rows = df.select(F.col(id_col).alias("id"), F.col(instruction).alias("i"), F.col(context).alias("c"), F.col(output).alias("o"))
     sample = [r.i for r in rows.where("i is not null").select("i", F.xxhash64("i").alias("h")).orderBy("h", "i").limit(fit_on).collect()]
-    model = spark.sparkContext.broadcast(fit(sample))
+    model = spark.sparkContext.broadcast((fit(sample), fit_stance()))
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for i, c, o in batches:
-            yield pd.DataFrame([judge(*x, model.value) for x in zip(i, c, o)], columns=NAMES)
+            yield pd.DataFrame([judge(*x, *model.value) for x in zip(i, c, o)], columns=NAMES)
 
     judged = cut(rows.select("id", F.pandas_udf(run, SCHEMA)("i", "c", "o").alias("x")).select("id", "x.*"))
     open_ = judged.where("defect is null")
