@@ -73,3 +73,43 @@ def test_mixture(spark):
     assert all(abs(shares[s].reached_share - shares[s].target_share / 0.95) < 0.02 for s in most)
     assert [tuple(r) for r in M.mixture(df, goals, block=32, slots=16).orderBy("shard", "slot").collect()] == sorted(map(tuple, rows))
     assert M.mixture(df.limit(0), goals).count() == 0
+
+
+@needs
+def test_neither_slots_nor_blocks_are_broadcast(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2], f"textul {i} " * 9) for i in range(400)], "doc_id long, source string, text string")
+    goals = spark.createDataFrame([("a", 0.6, 2), ("b", 0.4, 1)], "source string, target_share double, max_repeats int")
+    mixed = M.mixture(df, goals, block=16, slots=8)
+    assert mixed.collect()
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+@pytest.fixture
+def joins_change(spark):
+    """Joins are planned by sorting, and those with few rows become broadcasts at run time, as with many documents: no bucket may be cut by then."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "4k"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k in keys:
+        spark.conf.unset(k)
+
+
+@needs
+def test_large_ids_over_buckets(spark, monkeypatch, joins_change):
+    monkeypatch.setattr(M, "BUCKET", 20)  # several buckets, whose blocks meet at their ends
+    first = 2**62  # beyond what a float can hold
+    df = spark.createDataFrame([(first + i, "a", f"textul {i} " * (1 + i % 5)) for i in range(150)], "doc_id long, source string, text string")
+    goals = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
+    rows = M.mixture(df, goals, block=16, slots=8).collect()
+    encode = T.Encoder(T.read_ranks())
+    want = {first + i: encode(f"textul {i} " * (1 + i % 5)) for i in range(150)}
+    got: dict[int, dict[int, int]] = {}
+    for r in rows:
+        at = 0
+        for p in r.pieces:
+            got.setdefault(p.id, {}).update(zip(range(p.start, p.start + p.n), r.ids[at : at + p.n]))
+            at += p.n
+    assert {k: [v[i] for i in sorted(v)] for k, v in got.items()} == want
+    assert sum(len(r.ids) for r in rows) == sum(map(len, want.values())) and all(len(r.ids) == 16 for r in rows if r.block < len(rows) - 1)

@@ -7,7 +7,7 @@ its source is mapped through the source's pseudorandom permutation of block indi
 index.  A block, and so every token of a document, comes at most ``max_repeats`` times.
 
 The documents are encoded once, to ids of two or four bytes; the shares are planned from their counts, and only blocks that some slot
-draws are packed.
+draws are packed.  Slots are as many as blocks, so both sides are sorted and merged; neither is ever broadcast.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,7 +79,7 @@ class Split:
 
     def __init__(self, totals: list[int], slots: int, shards: int, seed: int) -> None:
         self.totals, self.slots, self.shards, self.seed = tuple(map(int, totals)), slots, shards, seed
-        self.first = lru_cache(100_000)(self._first)
+        self.first = lru_cache(1000)(self._first)  # shards come in order: the way down to the last one is enough
 
     def _first(self, lo: int, hi: int, left: tuple[int, ...]) -> tuple[int, ...]:
         """What the first half of the shards lo..hi gets of what is left for them: one hypergeometric draw for each source."""
@@ -118,10 +119,11 @@ def _key(seed: int, source: int, turn: int) -> int:
 
 
 def _packer(block: int, width: int, drawn: dict[str, Callable[[int], bool]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Documents of a bucket in order -> pieces of blocks: (source, block, at, pieces, raw), whole blocks but at the bucket's ends."""
+    """Documents of a bucket in order, after a row that has its ``base`` (-1 in theirs) -> pieces of blocks: (source, block, at, pieces, raw),
+    whole blocks but at the bucket's ends."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, source, number, start, pieces, raws = None, None, -1, 0, [], []
+        source, at, number, start, pieces, raws = None, 0, -1, 0, [], []
         out: list[tuple] = []
 
         def close() -> None:
@@ -131,10 +133,11 @@ def _packer(block: int, width: int, drawn: dict[str, Callable[[int], bool]]) ->
                 raws.clear()
 
         for pdf in batches:
-            for s, bucket, base, i, raw in zip(pdf["source"], pdf["bucket"], pdf["base"], pdf["id"], pdf["raw"]):
-                if (s, bucket) != now:
+            for s, base, i, raw in zip(pdf["source"], pdf["base"], pdf["id"], pdf["raw"]):
+                if base >= 0:
                     close()
-                    now, source, at = (s, bucket), s, base
+                    source, at = s, base
+                    continue
                 wanted, n, done = drawn.get(s), len(raw) // width, 0
                 while done < n and wanted is not None:
                     b, inside = divmod(at + done, block)
@@ -147,24 +150,28 @@ def _packer(block: int, width: int, drawn: dict[str, Callable[[int], bool]]) ->
                         raws.append(raw[done * width : (done + take) * width])
                     done += take
                 at += n
-            if len(out) >= 2000:
-                yield pd.DataFrame(out, columns=["source", "block", "at", "pieces", "raw"])
-                out.clear()
+                if len(out) >= 2000:
+                    yield pd.DataFrame(out, columns=["source", "block", "at", "pieces", "raw"])
+                    out.clear()
         close()
         yield pd.DataFrame(out, columns=["source", "block", "at", "pieces", "raw"])
 
     return run
 
 
-def packed(encoded: DataFrame, block: int, width: int, drawn: dict[str, Callable[[int], bool]]) -> DataFrame:
+def packed(encoded: DataFrame, documents: int, block: int, width: int, drawn: dict[str, Callable[[int], bool]]) -> DataFrame:
     """encoded(id, source, raw) -> (source, block, pieces array<struct<id, start, n>>, raw), blocks numbered from 0 in each source, only
-    those ``drawn``.  A bucket of about BUCKET documents is packed in one go; only pieces at its ends meet others."""
+    those ``drawn``.  A bucket of about BUCKET of the ``documents`` is packed in one go; only pieces at its ends meet others."""
     kind = encoded.schema["id"].dataType.simpleString()
-    rows = encoded.withColumn("h", F.xxhash64("id", F.lit(7))).withColumn("bucket", F.pmod("h", F.lit(max(1, -(-encoded.count() // BUCKET)))))
-    sums = rows.groupBy("source", "bucket").agg(F.sum(F.length("raw").cast("long")).alias("all_n"))
-    base = sums.withColumn("base", ((F.sum("all_n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("all_n")) / width).cast("long")).drop("all_n")
-    some = rows.where(F.col("source").isin(list(drawn))).join(base, ["source", "bucket"])
-    ordered = some.repartition("source", "bucket").sortWithinPartitions("source", "bucket", "h", "id", "raw").select("source", "bucket", "base", "id", "raw")
+    hashed = encoded.where(F.col("source").isin(list(drawn))).withColumn("h", F.xxhash64("id", F.lit(7)))
+    rows = hashed.withColumn("bucket", F.pmod("h", F.lit(max(1, -(-documents // BUCKET)))))
+    sums = rows.groupBy("source", "bucket").agg(F.sum(F.length("raw").cast("long")).alias("all_n"), F.min("id").alias("id"))
+    base = ((F.sum("all_n").over(Window.partitionBy("source").orderBy("bucket")) - F.col("all_n")) / width).cast("long")
+    # A bucket's base comes as its first row.  A join would be shuffled by the same keys, so that the planner may leave out the shuffle below
+    # and read the join's in parts: buckets were cut and their blocks met under one number.  The row's id is any (a null would turn ids to floats).
+    heads = sums.select("source", "bucket", F.lit(None).cast("long").alias("h"), "id", F.lit(b"").alias("raw"), base.alias("base"))
+    both = rows.select("source", "bucket", "h", "id", "raw", F.lit(-1).cast("long").alias("base")).unionByName(heads)
+    ordered = both.repartition("source", "bucket").sortWithinPartitions("source", "bucket", F.asc_nulls_first("h"), "id", "raw").select("source", "base", "id", "raw")
     made = ordered.mapInPandas(_packer(block, width, drawn), f"source string, block long, at int, pieces array<struct<id:{kind},start:int,n:int>>, raw binary")
     grouped = made.groupBy("source", "block").agg(F.array_sort(F.collect_list(F.struct("at", "pieces", "raw"))).alias("ps"))
     raw = F.aggregate("ps", F.lit(b""), lambda a, p: F.concat(a, p["raw"]))
@@ -182,9 +189,10 @@ def mixture(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", source:
     encode, width = packed_ids(spark, vocabulary)
     own = docs.select(F.col(id_col).alias("id"), F.col(source).alias("source"), F.col(text).alias("text")).join(F.broadcast(goals.select("source").distinct()), "source", "left_semi")
     encoded = cut(own.where(F.length("text") > 0).select("id", "source", encode("text").alias("raw")))  # encoded once, counted and packed
-    sizes = encoded.groupBy("source").agg(F.ceil(F.sum(F.length("raw")) / (block * width)).alias("blocks"))
+    sizes = encoded.groupBy("source").agg(F.ceil(F.sum(F.length("raw")) / (block * width)).alias("blocks"), F.count(F.lit(1)).alias("documents"))
     # One row for each target: the fixed list of sources, not the corpus.
-    told = [(r.source, r.target_share, r.max_repeats, r.blocks or 0) for r in goals.join(sizes, "source", "left").orderBy("source").collect()]
+    fixed = goals.join(sizes, "source", "left").orderBy("source").collect()
+    told = [(r.source, r.target_share, r.max_repeats, r.blocks or 0) for r in fixed]
     wanted = plan(told)
     names = sorted(wanted)
     totals, have = [wanted[n] for n in names], {n: int(b) for n, _, _, b in told}
@@ -222,10 +230,19 @@ def mixture(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", source:
         return (lambda b: True) if most >= size else some
 
     drawn = spark.range(shards).mapInPandas(draw, "shard long, slot int, source string, block long, copy long")
-    blocks = packed(encoded, block, width, {n: is_drawn(k) for k, n in enumerate(names)})
-    ids = F.pandas_udf(lambda raws: raws.map(lambda x: np.frombuffer(x, f"<u{width}").astype(np.int32)), "array<int>")
-
-    joined = drawn.join(blocks, ["source", "block"])
+    blocks = packed(encoded, sum(r.documents or 0 for r in fixed), block, width, {n: is_drawn(k) for k, n in enumerate(names)})
+
+    @F.arrow_udf("array<int>")
+    def ids(raws: pa.Array) -> pa.Array:  # a batch's bytes at once, no object for each block
+        raws = raws.cast(pa.binary())
+        if not len(raws):
+            return pa.array([], pa.list_(pa.int32()))
+        ends = np.frombuffer(raws.buffers()[1], np.int32)[raws.offset : raws.offset + len(raws) + 1] // width
+        values = np.frombuffer(raws.buffers()[2], f"<u{width}", ends[-1])[ends[0] :].astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends - ends[0]), pa.array(values))
+
+    # A shard's row is estimated as one slot, so without the hint the slots of some thousand shards are broadcast.
+    joined = drawn.hint("merge").join(blocks, ["source", "block"])
     return joined.select("shard", "slot", "source", "block", "copy", "pieces", ids("raw").alias("ids"))
 
 
